@@ -6,10 +6,12 @@ maximum are kept, which gives twice as many signature values; four of them make
 four values agree with probability 0.32, so 32 bands miss a link with probability 5e-6.
 
 Links are confirmed on the full sets. What is wanted is components, so buckets are never expanded into all their
-pairs. Neighbours in a hash order of each bucket are compared first (two rounds with different orders); the links
-found join most of a large group. Then only buckets that still hold several components are opened: all pairs
+pairs. Neighbours in a hash order of some bands' buckets are compared first, then each bucket's rows with the one row
+that shares most with others; the links found join most of a large group. Then only buckets that still hold several components are opened: all pairs
 across components of which one is not the bucket's largest are confirmed. Every pair in a bucket is thus either
-confirmed or already joined, and no link that a bucket holds is lost.
+confirmed, already joined, or ruled out by a bound: two sets have in common at most those shingles that either one
+shares with any set at all, less those whose bit in a small mark the other side lacks. No link that a bucket holds
+is lost.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm.common import Scratch, map_texts
@@ -27,6 +29,7 @@ from fieldloom.llm.common import Scratch, map_texts
 SHINGLE, PERMUTATIONS, ROWS = 5, 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
 NUMERATOR, DENOMINATOR = 75, 100
+MARK_BITS = 2048
 SPLITMIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 _rng = np.random.default_rng(20)
@@ -88,6 +91,18 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
+def marks_of(x: np.ndarray) -> np.ndarray:
+    """A bit for each element's hash modulo ``MARK_BITS``, as 64-bit words."""
+    seen = np.zeros(MARK_BITS, bool)
+    seen[(x % np.uint64(MARK_BITS)).astype(np.int64)] = True
+    return np.packbits(seen).view(np.int64)
+
+
+def _sets_and_marks(texts: list[str]) -> list[list]:
+    sets = shingle_sets(texts)
+    return [[x.view(np.int64) for x in sets], [marks_of(x) for x in sets]]
+
+
 def band_keys(x: np.ndarray) -> np.ndarray:
     """One key per band from the minima and the maxima of all permutations; the band's number is in the low bits."""
     with np.errstate(over="ignore"):
@@ -199,6 +214,25 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return p.filter(F.col("c") * DENOMINATOR >= (na + nb - F.col("c")) * NUMERATOR).select("a", "b")
 
 
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """(s_id, n, both): the size of each set and how many of its shingles another set has too."""
+    each = sets.select("id", F.explode("s").alias("x")).groupBy("x").agg(F.count("*").alias("c"), F.min("id").alias("id"))
+    alone = each.filter("c = 1").groupBy(F.col("id").alias("a_id")).agg(F.count("*").alias("alone"))
+    sizes = sets.groupBy(F.col("id").alias("s_id")).agg(F.max(F.size("s")).cast("long").alias("n"), F.sum(F.size("s")).alias("every"))
+    out = sizes.join(alone, F.col("s_id") == F.col("a_id"), "left")
+    return out.select("s_id", "n", F.least(F.col("every") - F.coalesce("alone", F.lit(0)), F.col("n")).alias("both"))
+
+
+def _can(both: str, n: str, other_both: str, other_n: str) -> Column:
+    """Whether two sets may be similar: they have at most the shared shingles of either in common, and the union is the rest of both."""
+    return F.least(both, other_both) * (DENOMINATOR + NUMERATOR) >= (F.col(n) + F.col(other_n)) * NUMERATOR
+
+
+def _differ(marks: str, other: str) -> Column:
+    """At least so many elements of the first set are not in the second: bits that only the first one's mark has."""
+    return F.aggregate(F.zip_with(marks, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda s, x: s + x)
+
+
 def _ordered(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a < b").distinct()
 
@@ -214,23 +248,31 @@ def classes_of(df: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> t
     # Full sets of the classes that share a bucket; of several rows with a representative's id, those of its own class count.
     wanted = found.select(F.col("id").alias("w")).distinct()
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, F.col("id") == F.col("w"), "left_semi")
-    sets = scratch.save(map_texts(source, "id", "text", "id long, s array<long>", lambda ts: [[x.view(np.int64) for x in shingle_sets(ts)]]).filter("size(s) > 0"))
+    sets = scratch.save(map_texts(source, "id", "text", "id long, s array<long>, marks array<long>", _sets_and_marks).filter("size(s) > 0"))
+    found = scratch.save(found.join(shared_counts(sets), F.col("id") == F.col("s_id")).drop("s_id").filter(F.col("both") * DENOMINATOR >= F.col("n") * NUMERATOR))
     pairs = _ordered(found.filter("prev is not null").filter(F.expr(f"pmod(key, {BANDS}) % 4 = 0")), "id", "prev")
     links = scratch.save(confirmed(pairs, sets))
     for last in (False, True):
         comp = components(links, scratch).select(F.col("id").alias("c_id"), "comp")
-        placed = found.join(comp, F.col("id") == F.col("c_id"), "left").select("key", "id", "prev", F.coalesce("comp", "id").alias("comp"))
+        placed = found.join(comp, F.col("id") == F.col("c_id"), "left").select("key", "id", "prev", "n", "both", F.coalesce("comp", "id").alias("comp"))
         many = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select(F.col("key").alias("k"))
         mixed = scratch.save(placed.join(many, F.col("key") == F.col("k"), "left_semi"))
-        if not last:  # the neighbours in the order of all bands that are not joined yet
-            before = comp.select(F.col("c_id").alias("p_id"), F.col("comp").alias("p_comp"))
-            pairs = mixed.filter("prev is not null").join(before, F.col("prev") == F.col("p_id"), "left").filter("comp <> coalesce(p_comp, prev)")
-            more = _ordered(pairs, "id", "prev")
+        if not last:  # every row with its bucket's hub, the one of which the largest share occurs elsewhere
+            hub = mixed.groupBy(F.col("key").alias("k")).agg(F.max(F.struct((F.col("both") / F.col("n")).alias("share"), (-F.col("id")).alias("id"), "comp", "n", "both")).alias("hub"))
+            with_hub = mixed.join(hub, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("hub.comp")) & _can("both", "n", "hub.both", "hub.n"))
+            more = _ordered(with_hub.select("id", (-F.col("hub.id")).alias("m_id")), "id", "m_id")
         else:
-            size = mixed.groupBy(F.col("key").alias("k"), F.col("comp").alias("c")).agg(F.count("*").alias("n"))
-            top = size.groupBy("k").agg(F.max_by("c", F.struct("n", "c")).alias("top"))
-            minor = mixed.join(top, F.col("key") == F.col("k")).filter("comp <> top").select(F.col("key").alias("m_key"), F.col("id").alias("m_id"), F.col("comp").alias("m_comp"), "top")
-            across = mixed.join(minor, (F.col("key") == F.col("m_key")) & (F.col("comp") != F.col("m_comp")) & ((F.col("comp") == F.col("top")) | (F.col("id") < F.col("m_id"))))
+            size = mixed.groupBy(F.col("key").alias("k"), F.col("comp").alias("c")).agg(F.count("*").alias("members"))
+            top = size.groupBy("k").agg(F.max_by("c", F.struct("members", "c")).alias("top"))
+            marks = sets.select(F.col("id").alias("k_id"), "marks")
+            mixed = scratch.save(mixed.join(marks, F.col("id") == F.col("k_id")))
+            minor = mixed.join(top, F.col("key") == F.col("k")).filter("comp <> top").select(
+                F.col("key").alias("m_key"), F.col("id").alias("m_id"), F.col("comp").alias("m_comp"), F.col("n").alias("m_n"), F.col("both").alias("m_both"), F.col("marks").alias("m_marks"), "top"
+            )
+            most = F.col("n") - _differ("marks", "m_marks")
+            alike = most * (DENOMINATOR + NUMERATOR) >= (F.col("n") + F.col("m_n")) * NUMERATOR
+            once = (F.col("comp") == F.col("top")) | (F.col("id") < F.col("m_id"))
+            across = mixed.join(minor, (F.col("key") == F.col("m_key")) & (F.col("comp") != F.col("m_comp")) & _can("both", "n", "m_both", "m_n") & once & alike)
             more = _ordered(across, "id", "m_id")
         links = scratch.save(links.unionByName(confirmed(more, sets)))
     return rows, scratch.save(components(links, scratch))
