@@ -35,8 +35,8 @@ N_STATES, N_CLASSES, CHUNK, WARM = 11, 11, 256, 12
 #: Emissions: a pre-token begins at this character, at the one before, or at both.
 HERE, BACK = 1, 2
 
-LEXICON_WORDS = 32_768
-CACHE_WORDS = 300_000
+LEXICON_WORDS = 100_000
+CACHE_WORDS = 500_000
 
 
 def machine() -> tuple[np.ndarray, np.ndarray]:
