@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -26,13 +27,14 @@ from fieldloom.llm.transducer import Transducer, build
 #: The white space of Unicode's property, which the tokenizer's \s stands for.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _WHITE = regex.compile(f"[{SPACES}]+")
-#: Fixed pattern of the tokenizer file.
-_WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+")
+_LATIN = {k: "".join(regex.escape(chr(i)) for i in range(256) if unicodedata.category(chr(i))[0] == k) for k in "LN"}
+#: The same for texts within Latin-1, with the classes written out and the commonest alternative first.
+_LATIN_WORDS = re.compile(rf"[{_LATIN['L']}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN['N']}]|[^\t-\r \x85\xa0{_LATIN['L']}{_LATIN['N']}]+")
 _LETTERS_OR_DIGITS = regex.compile(r"[\p{L}\p{N}]")
 #: Words compiled into the lexicon: the most frequent ones of the corpus.
-LEXICON_WORDS = 32_768
+LEXICON_WORDS = 100_000
 #: Entries a worker keeps of words it has met before it forgets them.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 
 @functools.cache
@@ -56,7 +58,7 @@ def pieces(text: str) -> list[str]:
         text.encode("latin-1")
     except UnicodeEncodeError:
         return _strict_words().findall(text)
-    return _WORDS.findall(text)
+    return _LATIN_WORDS.findall(text)
 
 
 def normalised(text: str) -> str:
