@@ -67,13 +67,13 @@ def _protos(spark, d):
     return e, vectors.mean_vector(e, "label", "embedding").select(F.col("label").alias("proto"), vec.l2norm(F.col("mean")).alias("pv"))
 
 
-@query("vec_l2norm", f"WITH {_EL}, n AS (SELECT vec_id, sqrt(sum(CAST(v AS DOUBLE) * v)) AS n FROM e GROUP BY vec_id) SELECT e.vec_id, CAST(e.i - 1 AS INT) AS i, round(CAST(e.v AS DOUBLE) / greatest(n.n, 1e-8), 5) AS unit FROM e JOIN n ON e.vec_id = n.vec_id")
+@query("vec_l2norm", f"WITH {_EL}, n AS (SELECT vec_id, sqrt(sum(CAST(v AS DOUBLE) * v)) AS n FROM e GROUP BY vec_id) SELECT e.vec_id, CAST(e.i - 1 AS INT) AS i, round(CAST(e.v AS DOUBLE) / greatest(n.n, 1e-8), 5) + 0 AS unit FROM e JOIN n ON e.vec_id = n.vec_id")
 def _(spark, d):
     e = _table(spark, d, "embeddings")
     return e.select("vec_id", F.posexplode(vec.l2norm(F.col("embedding"))).alias("i", "u")).select("vec_id", "i", F.round("u", 5).alias("unit"))
 
 
-@query("vec_mean_by_label", f"WITH {_EL} SELECT label, CAST(i - 1 AS INT) AS i, round(avg(CAST(v AS DOUBLE)), 5) AS mean FROM e GROUP BY label, i")
+@query("vec_mean_by_label", f"WITH {_EL} SELECT label, CAST(i - 1 AS INT) AS i, round(avg(CAST(v AS DOUBLE)), 5) + 0 AS mean FROM e GROUP BY label, i")
 def _(spark, d):
     m = vectors.mean_vector(_table(spark, d, "embeddings"), "label", "embedding")
     return m.select("label", F.posexplode("mean").alias("i", "m")).select("label", "i", F.round("m", 5).alias("mean"))
