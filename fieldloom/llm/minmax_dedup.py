@@ -294,5 +294,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of one document of each group, its smallest id, with all their columns."""
-    kept = near_duplicates(df, id_col, text_col).filter("kept").select(F.col(id_col).alias("k_id")).distinct()
-    return df.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("k_id")), "left_semi")
+    kept = near_duplicates(df, id_col, text_col).filter("kept").select(F.col(id_col).alias("__kept_id")).distinct()
+    return df.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("__kept_id")), "left_semi")
+
+
+#: The same in SQL: exact shingle sets, all pairs that share a shingle, and the closure of the links.
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS x FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+g AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, g.component_id, d.doc_id = g.component_id AS kept FROM d JOIN g ON g.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -40,4 +40,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.REPORT_SQL}
+    return {"op4_minhash_near_dedup": minmax_dedup.NEAR_SQL, "op10_mixing": mixing.REPORT_SQL}
