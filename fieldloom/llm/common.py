@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import mmap
 import os
 import tempfile
@@ -113,16 +115,23 @@ def _arrow_schema(schema: str) -> pa.Schema:
     return pa.schema([(n, pa.list_(_TYPES[t[6:-1]]) if t.startswith("array<") else _TYPES[t]) for n, t in pairs])
 
 
-def mapped_file(name: str, blob: bytes) -> mmap.mmap:
+def mapped_file(kind: str, blob: bytes) -> mmap.mmap:
     """A read-only memory map of ``blob``, shared by the Python workers of one executor.
 
-    The file is a cache under a name made from its content; a new executor writes it again from the broadcast.
+    The file is a cache under a name made from its content; a new executor writes it again from the broadcast. Older
+    files of the same kind are removed: maps that are still in use outlive their names.
     """
-    path = os.path.join(tempfile.gettempdir(), f"fieldloom-{name}-{len(blob)}.bin")
-    if not os.path.exists(path):
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with tempfile.NamedTemporaryFile(dir=os.path.dirname(path), delete=False) as f:
-            f.write(blob)
-        os.replace(f.name, path)
-    with open(path, "rb") as f:
-        return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+    folder, name = tempfile.gettempdir(), f"fieldloom-{kind}-{hashlib.sha256(blob).hexdigest()[:16]}.bin"
+    while True:
+        try:
+            with open(os.path.join(folder, name), "rb") as f:
+                return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+        except FileNotFoundError:
+            os.makedirs(folder, exist_ok=True)
+            old = [x for x in os.listdir(folder) if x.startswith(f"fieldloom-{kind}-") and x != name]
+            with tempfile.NamedTemporaryFile(dir=folder, delete=False) as f:
+                f.write(blob)
+            os.replace(f.name, os.path.join(folder, name))
+            for x in old:
+                with contextlib.suppress(FileNotFoundError):
+                    os.remove(os.path.join(folder, x))

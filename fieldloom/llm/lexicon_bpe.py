@@ -96,7 +96,7 @@ class Codec:
         self.seen: dict[str, bytes] = {}
         self.lexicon = None
         if blob is not None:
-            data = mapped_file("lex" + hashlib.sha256(blob).hexdigest()[:16], blob)
+            data = mapped_file("lexicon", blob)
             n, size = (int(x) for x in np.frombuffer(data, np.int64, 2))
             self.offsets = np.frombuffer(data, np.int64, n + 1, 16)
             at = 16 + 8 * (n + 1)

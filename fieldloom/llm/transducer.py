@@ -8,7 +8,6 @@ can be memory-mapped; ``lookup`` walks many words in lockstep.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -67,7 +66,7 @@ def build(words: dict[bytes, int]) -> bytes:
 
 class Transducer:
     def __init__(self, blob: bytes, mapped: bool = False):
-        data = mapped_file(hashlib.sha256(blob).hexdigest()[:16], blob) if mapped else blob
+        data = mapped_file("transducer", blob) if mapped else blob
         arcs, states, self.start, self.base = (int(x) for x in np.frombuffer(data, np.int64, 4))
         at = 32
         for name, kind in _FIELDS:
