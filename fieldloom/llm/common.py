@@ -14,7 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts handed to a kernel at once, in characters; a longer text forms a slice of its own.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
+#: Rows of a batch that are turned into Python strings at once.
+STEP_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,13 +96,13 @@ def map_texts(
         arrow = None
         for b in batches:
             arrow = arrow or _arrow_schema(schema)
-            ids = b.column(0)
-            texts = [x or "" for x in b.column(1).to_pylist()]
-            for i, j in slices(texts):
-                cols = kernel(texts[i:j])
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i).cast(arrow.field(0).type), *(pa.array(c, arrow.field(k + 1).type) for k, c in enumerate(cols))], names=names
-                )
+            for at in range(0, b.num_rows, STEP_ROWS):
+                ids, texts = b.column(0).slice(at, STEP_ROWS), [x or "" for x in b.column(1).slice(at, STEP_ROWS).to_pylist()]
+                for i, j in slices(texts):
+                    cols = kernel(texts[i:j])
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.slice(i, j - i).cast(arrow.field(0).type), *(pa.array(c, arrow.field(k + 1).type) for k, c in enumerate(cols))], names=names
+                    )
 
     from pyspark.sql import functions as F
 

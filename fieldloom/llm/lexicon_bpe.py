@@ -34,7 +34,7 @@ _LETTERS_OR_DIGITS = regex.compile(r"[\p{L}\p{N}]")
 #: Words compiled into the lexicon: the most frequent ones of the corpus.
 LEXICON_WORDS = 100_000
 #: Entries a worker keeps of words it has met before it forgets them.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 
 @functools.cache

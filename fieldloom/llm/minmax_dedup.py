@@ -48,9 +48,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.ones(1, np.uint64)
-    while len(out) < n:
+    while len(out) < n:  # up to the next power of two, so that slightly longer data don't ask for new ones
         out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
-    return out[:n]
+    return out
 
 
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -63,7 +63,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
     first, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if len(_POWERS[0]) <= len(b):
-        _POWERS[0], _POWERS[1] = _powers(_BASE, 2 * len(b) + 1), _powers(_BACK, 2 * len(b) + 1)
+        _POWERS[0], _POWERS[1] = _powers(_BASE, len(b) + 1), _powers(_BACK, len(b) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * _POWERS[0][: len(b)], dtype=np.uint64)])
     return _mix((total[stop] - total[first]) * _POWERS[1][first] + (stop - first).astype(np.uint64)), first
 
