@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_CHARS = 500_000
 #: Rows of a batch that are turned into Python strings at once.
 STEP_ROWS = 1024
+BATCH_ROWS = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,13 @@ class Scratch:
                 p.getFileSystem(conf).delete(p, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts travel to Python in batches of at most ``BATCH_ROWS``: the default of ten thousand is meant for short rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 class Shared:
     """Bytes sent to the executors once, and what each Python worker makes of them, kept for its later tasks."""
 
@@ -106,6 +114,7 @@ def map_texts(
 
     from pyspark.sql import functions as F
 
+    small_batches(df.sparkSession)
     return df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import Shared, map_texts, slices
+from fieldloom.llm.common import Shared, map_texts, slices, small_batches
 from fieldloom.llm.token_counts import DIGIT, LETTER, class_table
 
 DIM = 4096
@@ -162,6 +162,7 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose language is found, unchanged: texts without a letter and ambiguous ones go."""
     kernel = predictor(df, fit(df, id_col, text_col, lang_col))
+    small_batches(df.sparkSession)
 
     @F.pandas_udf("boolean")
     def sure(texts: pd.Series) -> pd.Series:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import map_texts
+from fieldloom.llm.common import map_texts, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 24
@@ -319,6 +319,7 @@ def redacted(text: str, w: dict[str, float]) -> str:
 def redact_documents(df: DataFrame, text_col: str = "text", chars_col: str | None = None) -> DataFrame:
     """The same rows and columns with personal data masked; null texts stay null. ``chars_col`` gets the new length."""
     w = trained()
+    small_batches(df.sparkSession)
 
     @F.pandas_udf("string")
     def mask(texts: pd.Series) -> pd.Series:
