@@ -54,10 +54,26 @@ def guess_field(df: DataFrame, fields: list[str], known: list[str]) -> DataFrame
     return best.select(F.when(F.col("b.n") > 0, F.col("b.field")).alias("field"), F.col("b.n").alias("n"))
 
 
-def next_ids(rows: DataFrame, target: DataFrame, id_col: str, order: list) -> DataFrame:
+def numbered(rows: DataFrame, order: list, scratch, name: str = "rank") -> DataFrame:
+    """Rows with their 1-based place in the order, without sorting them in one task.
+
+    Rows are dealt to ranges of the order and written, so that the ranges stay fixed; ranges are counted, and a row's place
+    is its place in its range after the sizes of the earlier ranges. Ranges are numbered in order, so only their counts,
+    one per task, are summed in one place. ``order`` must tell any two rows apart.
+    """
+    dealt = scratch.save(rows.repartitionByRange(*order).withColumn("n_range", F.spark_partition_id()))
+    sizes = dealt.groupBy("n_range").agg(F.count("*").alias("n_size"))
+    before = F.coalesce(F.sum("n_size").over(Window.orderBy("n_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(F.col("n_range").alias("s_range"), before.alias("n_start"))
+    placed = dealt.withColumn("n_place", F.row_number().over(Window.partitionBy("n_range").orderBy(*order)))
+    out = placed.join(F.broadcast(starts), F.col("n_range") == F.col("s_range"))
+    return out.withColumn(name, F.col("n_start") + F.col("n_place")).drop("n_range", "s_range", "n_start", "n_place")
+
+
+def next_ids(rows: DataFrame, target: DataFrame, id_col: str, order: list, scratch) -> DataFrame:
     """Rows with ids that go on after the target's largest, in the given order."""
     top = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top_id"))
-    return rows.withColumn("rn", F.row_number().over(Window.orderBy(*order))).crossJoin(F.broadcast(top)).withColumn("new_id", F.col("top_id") + F.col("rn")).drop("rn", "top_id")
+    return numbered(rows, order, scratch, "i_rank").crossJoin(F.broadcast(top)).withColumn("new_id", F.col("top_id") + F.col("i_rank")).drop("i_rank", "top_id")
 
 
 def reasons(cascade: list[tuple[str, Column]], otherwise: str = "send") -> Column:

@@ -20,7 +20,7 @@ W, TILE, OVERLAP, CELL = 100, 32, 8, 25.0
 
 BOX_SQL = "box AS (SELECT p_partkey AS id, CAST((p_partkey * 37) % 1000 AS DOUBLE) AS x0, CAST((p_partkey * 91) % 1000 AS DOUBLE) AS y0, CAST((p_partkey * 37) % 1000 + p_size AS DOUBLE) AS x1, CAST((p_partkey * 91) % 1000 + p_size AS DOUBLE) AS y1, p_type AS species, CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'auto' ELSE 'nesp' END AS source FROM part)"
 IOU_SQL = "greatest(least(a.x1,b.x1)-greatest(a.x0,b.x0),0)*greatest(least(a.y1,b.y1)-greatest(a.y0,b.y0),0)"
-PIX_SQL = "pix AS (SELECT event_id AS pid, CAST(event_id % 100 AS BIGINT) AS x, CAST(event_id // 100 AS BIGINT) AS y, event_type AS cls, CAST(floor(value) AS BIGINT) % 20 AS cluster, value FROM events WHERE event_id < 10000)"
+PIX_SQL = "pix AS (SELECT event_id AS pid, CAST(event_id % 100 AS BIGINT) AS x, CAST(event_id // 100 AS BIGINT) AS y, event_type AS cls, CAST(floor(value) AS BIGINT) % 20 AS cluster, value FROM events)"
 DOT_SQL = "sum(CAST(a AS DOUBLE) * CAST(b AS DOUBLE))"
 
 
@@ -38,14 +38,17 @@ def boxes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pixel_rows(spark: SparkSession, d: str) -> DataFrame:
-    """One row per cell of a 100 x 100 raster: the events' ids number the cells."""
-    e = _table(spark, d, "events").filter("event_id < 10000")
-    return e.select(
+    """One row per cell of a raster 100 wide and as high as there are events: their ids number the cells."""
+    return _table(spark, d, "events").select(
         F.col("event_id").alias("pid"), (F.col("event_id") % 100).alias("x"), F.floor(F.col("event_id") / 100).alias("y"),
         F.col("event_type").alias("cls"), (F.floor("value") % 20).alias("cluster"), "value",
     )
 
 
+def raster_height(spark: SparkSession, d: str) -> int:
+    return (_table(spark, d, "events").agg(F.max("event_id")).first()[0] or 0) // W + 1
+
+
 def query(name: str, sql: str | None = None):
     def register(f):
         QUERIES[name] = f
@@ -114,9 +117,9 @@ def _(spark, d):
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(F.round("sim", 6)), "vec_id")).cast("long")).select("vec_id", F.round("sim", 5).alias("sim"), "rank")
 
 
-@query("featurize_nonzero", f"WITH {_EL}, k AS (SELECT p_partkey AS k FROM part WHERE p_partkey <= 12), m AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS m FROM e GROUP BY label, i), n AS (SELECT label, sqrt(sum(m * m)) AS n FROM m GROUP BY label) SELECT k.k AS poly, round(sqrt(sum((m.m / n.n) * (m.m / n.n))), 5) AS norm FROM k JOIN m ON k.k = m.label JOIN n ON m.label = n.label WHERE n.n > 1e-6 GROUP BY k.k")
+@query("featurize_nonzero", f"WITH {_EL}, k AS (SELECT p_partkey AS k FROM part), m AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS m FROM e GROUP BY label, i), n AS (SELECT label, sqrt(sum(m * m)) AS n FROM m GROUP BY label) SELECT k.k AS poly, round(sqrt(sum((m.m / n.n) * (m.m / n.n))), 5) AS norm FROM k JOIN m ON k.k = m.label JOIN n ON m.label = n.label WHERE n.n > 1e-6 GROUP BY k.k")
 def _(spark, d):
-    keys = _table(spark, d, "part").filter("p_partkey <= 12").select(F.col("p_partkey").alias("poly"))
+    keys = _table(spark, d, "part").select(F.col("p_partkey").alias("poly"))
     f = vectors.featurize(keys, _table(spark, d, "embeddings").withColumnRenamed("label", "poly"), "poly", "embedding")
     return f.select("poly", vec.norm(F.col("feat")).alias("n")).filter("n > 1e-6").select("poly", F.round("n", 5).alias("norm"))
 
@@ -129,11 +132,11 @@ def _(spark, d):
     return grid.tile_grid(spark, W, W, TILE, OVERLAP)
 
 
-_COVER = f"{PIX_SQL}, t AS (SELECT unnest(range(0, 4)) AS k), cov AS (SELECT p.*, CAST(r.k AS INT) AS row_idx, CAST(c.k AS INT) AS col_idx FROM pix p JOIN t r ON p.y >= r.k * 24 AND p.y < r.k * 24 + 32 JOIN t c ON p.x >= c.k * 24 AND p.x < c.k * 24 + 32)"
+_COVER = f"{PIX_SQL}, t AS (SELECT unnest(range(0, 4)) AS k), u AS (SELECT unnest(range(0, CAST(ceil(((SELECT max(event_id) // 100 + 1 FROM events) - 8) / 24.0) AS BIGINT))) AS k), cov AS (SELECT p.*, CAST(r.k AS INT) AS row_idx, CAST(c.k AS INT) AS col_idx FROM pix p JOIN u r ON p.y >= r.k * 24 AND p.y < r.k * 24 + 32 JOIN t c ON p.x >= c.k * 24 AND p.x < c.k * 24 + 32)"
 
 
 def _covered(spark, d):
-    return pixels.covered(pixel_rows(spark, d), W, W, TILE, OVERLAP)
+    return pixels.covered(pixel_rows(spark, d), W, raster_height(spark, d), TILE, OVERLAP)
 
 
 @query("tile_cover_count", f"WITH {_COVER}, n AS (SELECT pid, count(*) AS tiles FROM cov GROUP BY pid) SELECT tiles, count(*) AS pixels FROM n GROUP BY tiles")
@@ -173,10 +176,10 @@ def _(spark, d):
     return t.select("pc", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
 
 
-@query("patch_grid_size", f"WITH {PIX_SQL} SELECT DISTINCT CAST(greatest((pid // 14) * 14, 14) AS BIGINT) AS px, CAST(greatest((pid // 14) * 14, 14) // 14 AS BIGINT) AS patches FROM pix WHERE pid < 600")
+@query("patch_grid_size", f"WITH {PIX_SQL} SELECT DISTINCT CAST(greatest((pid // 14) * 14, 14) AS BIGINT) AS px, CAST(greatest((pid // 14) * 14, 14) // 14 AS BIGINT) AS patches FROM pix")
 def _(spark, d):
     px = grid.patch_extent(F.col("pid")).cast("long")
-    return pixel_rows(spark, d).filter("pid < 600").select(px.alias("px"), F.floor(px / 14).alias("patches")).distinct()
+    return pixel_rows(spark, d).select(px.alias("px"), F.floor(px / 14).alias("patches")).distinct()
 
 
 @query("cluster_to_class", f"WITH {PIX_SQL} SELECT pid, CAST(CASE cluster WHEN 1 THEN 3 WHEN 2 THEN 1 WHEN 5 THEN 3 WHEN 7 THEN 2 ELSE 0 END AS INT) AS class_id FROM pix")
@@ -344,12 +347,13 @@ def _(spark, d):
 _ORD = "o AS (SELECT species, row_number() OVER (ORDER BY species) AS ordinal FROM (SELECT DISTINCT species FROM box) s)"
 
 
-@query("rasterize_priority", f"WITH {BOX_SQL}, {_ORD}, g AS (SELECT CAST(a.k AS INT) AS x, CAST(b.k AS INT) AS y FROM (SELECT unnest(range(0, 100)) AS k) a, (SELECT unnest(range(0, 100)) AS k) b) SELECT x, y, species AS value FROM (SELECT g.x, g.y, box.species, row_number() OVER (PARTITION BY g.x, g.y ORDER BY CASE WHEN source IS NULL OR source = 'seed' THEN 2 ELSE 1 END DESC, ordinal) AS r FROM g JOIN box ON g.x + 0.5 >= x0 AND g.x + 0.5 < x1 AND g.y + 0.5 >= y0 AND g.y + 0.5 < y1 JOIN o ON box.species = o.species) WHERE r = 1")
+@query("rasterize_priority", f"WITH {BOX_SQL}, {_ORD}, c AS (SELECT id, species, source, unnest(range(CAST(x0 AS BIGINT), CAST(x1 AS BIGINT))) AS x, y0, y1 FROM box), g AS (SELECT *, unnest(range(CAST(y0 AS BIGINT), CAST(y1 AS BIGINT))) AS y FROM c) SELECT CAST(x AS INT) AS x, CAST(y AS INT) AS y, arg_max(g.species, (CASE WHEN source IS NULL OR source = 'seed' THEN 2 ELSE 1 END) * 1000 - ordinal) AS value FROM g JOIN o ON g.species = o.species GROUP BY x, y")
 def _(spark, d):
     b = boxes(spark, d)
     band = F.when(F.col("source").isNull() | (F.col("source") == "seed"), 2.0).otherwise(1.0)
     order = b.select("species").distinct().withColumn("ordinal", F.row_number().over(Window.orderBy("species"))).withColumnRenamed("species", "o_species")
-    return pixels.burn_boxes(b.join(F.broadcast(order), F.col("species") == F.col("o_species")), W, W, F.col("species"), band, F.col("ordinal"))
+    width, height = (int(n or 0) for n in b.agg(F.max("x1"), F.max("y1")).first())
+    return pixels.burn_boxes(b.join(F.broadcast(order), F.col("species") == F.col("o_species")), width, height, F.col("species"), band, F.col("ordinal"))
 
 
 # --- names and exchange ------------------------------------------------------------------------------------
@@ -385,11 +389,12 @@ def _(spark, d):
     return p.select("p_type", "p_brand", F.when(F.col("p_type") == "SMALL", "learned").otherwise(lookup.to_theirs(name, {}, {})).alias("theirs"))
 
 
-@query("guess_field", "WITH c AS (SELECT count_if(p_type IN (SELECT DISTINCT p_type FROM part WHERE p_partkey < 50)) AS a, count_if(p_brand IN (SELECT DISTINCT p_type FROM part WHERE p_partkey < 50)) AS b FROM part) SELECT CASE WHEN a >= b THEN 'p_type' ELSE 'p_brand' END AS field, CAST(greatest(a, b) AS BIGINT) AS n FROM c")
+KNOWN = ("ECONOMY", "LARGE", "SMALL")
+
+
+@query("guess_field", f"WITH c AS (SELECT count_if(p_type IN {KNOWN}) AS a, count_if(p_brand IN {KNOWN}) AS b FROM part) SELECT CASE WHEN a >= b THEN 'p_type' ELSE 'p_brand' END AS field, CAST(greatest(a, b) AS BIGINT) AS n FROM c")
 def _(spark, d):
-    p = _table(spark, d, "part")
-    known = [r[0] for r in p.filter("p_partkey < 50").select("p_type").distinct().collect()]
-    return lookup.guess_field(p, ["p_type", "p_brand"], known)
+    return lookup.guess_field(_table(spark, d, "part"), ["p_type", "p_brand"], list(KNOWN))
 
 
 @query("provenance_anti_join", "SELECT o_orderkey AS fid, 'nesp:f|' || o_orderstatus || '|' || CAST(o_orderkey AS VARCHAR) || CASE WHEN o_custkey % 3 <> 0 THEN '.' || CAST(o_custkey % 3 AS VARCHAR) ELSE '' END AS key FROM orders WHERE NOT (o_orderkey % 2 = 0 AND o_custkey % 3 = 0)")
@@ -407,10 +412,12 @@ def _(spark, d):
     return o.join(log, (F.col("fid") == F.col("l_orderkey")) & (F.col("layer") == F.col("l_linestatus")), "left_anti")
 
 
-@query("export_next_id", "SELECT o_orderkey, CAST((SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY o_orderstatus, o_orderkey) AS BIGINT) AS new_id FROM orders WHERE o_orderkey % 7 = 0")
+@query("export_next_id", "SELECT o_orderkey, CAST((SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY o_orderstatus, o_orderkey) AS BIGINT) AS new_id FROM orders")
 def _(spark, d):
-    rows = _table(spark, d, "orders").filter("o_orderkey % 7 = 0").select("o_orderkey", "o_orderstatus")
-    return lookup.next_ids(rows, _table(spark, d, "part"), "p_partkey", ["o_orderstatus", "o_orderkey"]).select("o_orderkey", "new_id")
+    from fieldloom.sources.tables import Scratch
+
+    rows = _table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return lookup.next_ids(rows, _table(spark, d, "part"), "p_partkey", ["o_orderstatus", "o_orderkey"], Scratch(spark)).select("o_orderkey", "new_id")
 
 
 @query("export_reason_pivot", f"WITH {BOX_SQL} SELECT species, count(*) AS have, CAST(count_if(source = 'nesp') AS BIGINT) AS nesp, CAST(count_if(source IS DISTINCT FROM 'nesp' AND id % 3 = 0) AS BIGINT) AS logged, CAST(count_if(source IS DISTINCT FROM 'nesp' AND id % 3 <> 0 AND id % 5 = 0) AS BIGINT) AS overlap, CAST(count_if(source IS DISTINCT FROM 'nesp' AND id % 3 <> 0 AND id % 5 <> 0) AS BIGINT) AS send FROM box GROUP BY species")

@@ -60,17 +60,17 @@ def test_import_is_greedy_and_a_second_run_adds_nothing(spark, scratch):
     assert exchange.import_rows(rows.withColumn("fid", F.col("fid") + 100), old, *args)[0].count() == 0
 
 
-def test_export_reasons(spark):
+def test_export_reasons(spark, scratch):
     b = [(0, 0, 10, 10), (20, 0, 30, 10), (40, 0, 50, 10), (60, 0, 70, 10)]
     extra = [("A", i, 0, "A_b", s) for i, s in enumerate([None, "nesp", "auto", None])]
     rows = shapes(spark, b, ", layer string, fid long, part int, species string, source string", extra).drop("id")
     target = shapes(spark, [(40, 0, 50, 10.01)]).withColumn("id", F.lit(7).cast("long"))
     log = spark.createDataFrame([("A", 3)], "layer string, fid long")
-    send, counts = exchange.export_rows(rows, target, log, 10.0)
+    send, counts = exchange.export_rows(rows, target, log, 10.0, scratch)
     assert [(r["new_id"], r["fid"], r["their_name"]) for r in send.collect()] == [(8, 0, "A. b")]
     assert tuple(counts.first()) == ("A", 4, 1, 1, 1, 1)
     with pytest.raises(ValueError):
-        exchange.export_rows(rows, target, log, 10.0, width=3)
+        exchange.export_rows(rows, target, log, 10.0, scratch, width=3)
 
 
 def test_propagation_finds_the_planted_candidate(spark):
