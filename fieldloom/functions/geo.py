@@ -17,6 +17,10 @@ def utm_epsg(lon: Column, lat: Column) -> Column:
     return (F.when(lat >= 0, 32600).otherwise(32700) + zone).cast("long")
 
 
+def utm_epsg_of(lon: float, lat: float) -> int:
+    return (32600 if lat >= 0 else 32700) + math.floor((lon + 180) / 6) + 1
+
+
 def pixel_size_m(px: Column, py: Column, lat: Column, geographic: Column) -> Column:
     metres = (F.abs(px) * LON_M * F.cos(F.radians(lat)) + F.abs(py) * LAT_M) / 2
     return F.when(geographic, metres).otherwise((F.abs(px) + F.abs(py)) / 2)

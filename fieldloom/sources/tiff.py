@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-_KINDS = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d"}
-_SIZES = {"B": 1, "s": 1, "H": 2, "I": 4, "b": 1, "h": 2, "i": 4, "f": 4, "d": 8}
+_KINDS = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q", 17: "q"}
+_SIZES = {"B": 1, "s": 1, "H": 2, "I": 4, "b": 1, "h": 2, "i": 4, "f": 4, "d": 8, "Q": 8, "q": 8}
+#: Stores whose files can be read in ranges; files in others are read whole.
+_STORES = ("file", "hdfs", "s3", "s3a", "gs")
 
 
 @dataclass
@@ -27,15 +31,33 @@ class Raster:
     extra: dict = field(default_factory=dict)
 
 
+class Ranges:
+    """The bytes of a stored file, read where a slice asks for them."""
+
+    def __init__(self, path: str):
+        from pyarrow import fs
+
+        scheme, _, place = path.partition(":")
+        uri = "file://" + quote("/" + place.lstrip("/")) if scheme == "file" else path.replace("s3a:", "s3:", 1)
+        system, place = fs.FileSystem.from_uri(uri)
+        self.file = system.open_input_file(place)
+
+    def __getitem__(self, at: slice) -> bytes:
+        return self.file.read_at(at.stop - (at.start or 0), at.start or 0)
+
+
 class Reader:
-    """Reads the header once and then only the strips or tiles under a window."""
+    """Reads the header once and then only the strips or tiles under a window. 64-bit files are read too."""
 
-    def __init__(self, blob: bytes):
+    def __init__(self, blob: bytes | Ranges):
         self.blob = blob
-        self.order = {b"II": "<", b"MM": ">"}.get(blob[:2])
-        if self.order is None or struct.unpack_from(self.order + "H", blob, 2)[0] != 42:
+        head = blob[0:16]
+        self.order = {b"II": "<", b"MM": ">"}.get(head[:2])
+        version = struct.unpack_from(self.order + "H", head, 2)[0] if self.order and len(head) >= 8 else 0
+        if version not in (42, 43):
             raise ValueError("not a baseline TIFF")
-        tags = self._tags(struct.unpack_from(self.order + "I", blob, 4)[0])
+        self.big = version == 43
+        tags = self._tags(struct.unpack_from(self.order + ("Q" if self.big else "I"), head, 8 if self.big else 4)[0])
         one = lambda t, default=None: tags[t][0] if t in tags else default
         self.width, self.height, self.bands = one(256), one(257), one(277, 1)
         self.compression, self.predictor, self.planar = one(259, 1), one(317, 1), one(284, 1)
@@ -62,19 +84,25 @@ class Reader:
         self.alpha = self.bands >= 4 and tags.get(338, (0,))[-1] in (1, 2)
 
     def _tags(self, at: int) -> dict[int, tuple]:
-        out = {}
-        for k in range(struct.unpack_from(self.order + "H", self.blob, at)[0]):
-            tag, kind, n = struct.unpack_from(self.order + "HHI", self.blob, at + 2 + 12 * k)
+        n_code, word = ("Q", "Q") if self.big else ("H", "I")
+        first, entry, inline = at + struct.calcsize(f"={n_code}"), struct.calcsize(f"=HH2{word}"), struct.calcsize(f"={word}")
+        count = struct.unpack(self.order + n_code, self.blob[at:first])[0]
+        table, out = self.blob[first : first + entry * count], {}
+        for k in range(count):
+            tag, kind, n = struct.unpack_from(f"{self.order}HH{word}", table, entry * k)
             code = _KINDS.get(kind)
             if code is None:
                 continue
-            size, place = n * _SIZES[code], at + 10 + 12 * k
-            if size > 4:
-                place = struct.unpack_from(self.order + "I", self.blob, place)[0]
-            out[tag] = struct.unpack_from(f"{self.order}{n}{code}", self.blob, place)
+            size, cell = n * _SIZES[code], table[entry * (k + 1) - inline : entry * (k + 1)]
+            if size > inline:
+                place = struct.unpack(self.order + word, cell)[0]
+                cell = self.blob[place : place + size]
+            out[tag] = struct.unpack_from(f"{self.order}{n}{code}", cell)
         return out
 
     def _block(self, k: int, rows: int) -> np.ndarray:
+        if not self.counts[k]:  # a block that was left out has no data
+            return np.full((rows, self.block_w, self.bands if self.planar == 1 else 1), self.nodata or 0, self.dtype)
         raw = self.blob[self.offsets[k] : self.offsets[k] + self.counts[k]]
         if self.compression != 1:
             raw = zlib.decompress(raw)
@@ -145,10 +173,10 @@ def encode(r: Raster, rows_per_strip: int = 64) -> bytes:
     return struct.pack("<2sHI", b"II", 42, 8) + struct.pack("<H", len(tags)) + entries + b"\0" * 4 + tail + b"".join(strips)
 
 
-def tile_windows(width: int, height: int, size: int, overlap: int) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """(row_idx, col_idx, row_off, col_off, height, width) of the overlapping grid."""
+def tile_windows(width: int, height: int, size: int, overlap: int, row: int | None = None) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(row_idx, col_idx, row_off, col_off, height, width) of the overlapping grid, or of one row of it."""
     step = size - overlap
-    for r in range(-(-(height - overlap) // step)):
+    for r in range(-(-(height - overlap) // step)) if row is None else (row,):
         for c in range(-(-(width - overlap) // step)):
             yield r, c, r * step, c * step, min(size, height - r * step), min(size, width - c * step)
 
@@ -166,30 +194,58 @@ def valid_fraction(data: np.ndarray, nodata: float | None, alpha: bool) -> float
 def read_tiles(spark: SparkSession, path: str, size: int = 512, overlap: int = 64, min_valid: float = 0.1, pad: bool = True) -> DataFrame:
     """Overlapping tiles of all GeoTIFFs under a path: one row per tile that has enough valid pixels, padded with 0.
 
-    Files are read through Spark, so the path may be in any store that it reads. Geographic rasters are refused.
+    Files in a store that can be read in ranges are parted into rows of tiles, which are spread over the tasks, so that
+    one large raster keeps a whole cluster busy and no task holds more than a tile. Files in other stores are read whole,
+    one per task. Geographic rasters are refused.
     """
+    names = [x.split()[0] for x in TILE_SCHEMA.split(", ")]
+
+    def checked(file: str, blob: bytes | Ranges) -> Reader:
+        r = Reader(blob)
+        if r.geographic:
+            raise ValueError(f"{file}: a projected reference system is needed")
+        return r
+
+    def cut(file: str, r: Reader, windows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        a, b, c, d, e, f = r.transform
+        for ri, ci, y, x, h, w in windows:
+            data = r.read(y, x, h, w)
+            share = valid_fraction(data, r.nodata, r.alpha)
+            if share < min_valid:
+                continue
+            if pad and (h < size or w < size):
+                data = np.pad(data, ((0, 0), (0, size - h), (0, size - w)))
+            at = [a, b, c + a * x + b * y, d, e, f + d * x + e * y]
+            row = (file, ri, ci, f"tile_r{ri:04d}_c{ci:04d}", y, x, h, w, r.bands, data.dtype.str, at, r.epsg, share, data.tobytes())
+            yield pd.DataFrame([row], columns=names)
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in TILE_SCHEMA.split(", ")]
+    def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for file, blob in zip(frame["path"], frame["content"]):
-                r = Reader(bytes(blob))
-                if r.geographic:
-                    raise ValueError(f"{file}: a projected reference system is needed")
-                a, b, c, d, e, f = r.transform
-                for ri, ci, y, x, h, w in tile_windows(r.width, r.height, size, overlap):
-                    data = r.read(y, x, h, w)
-                    share = valid_fraction(data, r.nodata, r.alpha)
-                    if share < min_valid:
-                        continue
-                    if pad and (h < size or w < size):
-                        data = np.pad(data, ((0, 0), (0, size - h), (0, size - w)))
-                    at = [a, b, c + a * x + b * y, d, e, f + d * x + e * y]
-                    row = (file, ri, ci, f"tile_r{ri:04d}_c{ci:04d}", y, x, h, w, r.bands, data.dtype.str, at, r.epsg, share, data.tobytes())
-                    yield pd.DataFrame([row], columns=names)
+                r = checked(file, bytes(blob))
+                yield from cut(file, r, tile_windows(r.width, r.height, size, overlap))
+
+    def tile_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for file in frame["path"]:
+                r = checked(file, Ranges(file))
+                rows = [w[0] for w in tile_windows(1 + overlap, r.height, size, overlap)]
+                yield pd.DataFrame({"path": [file] * len(rows), "row_idx": rows})
+
+    def ranged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        file, r = None, None
+        for frame in frames:
+            for path, row in zip(frame["path"], frame["row_idx"]):
+                if path != file:
+                    file, r = path, checked(path, Ranges(path))
+                yield from cut(file, r, tile_windows(r.width, r.height, size, overlap, row))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif*").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(cut, TILE_SCHEMA)
+    one = files.select("path").first()
+    if one is None or one[0].partition(":")[0] not in _STORES:
+        return files.select("path", "content").mapInPandas(whole, TILE_SCHEMA)
+    tasks = max(spark.sparkContext.defaultParallelism, files.agg({"length": "sum"}).first()[0] // (64 << 20))
+    return files.select("path").mapInPandas(tile_rows, "path string, row_idx int").repartition(int(tasks), "path", "row_idx").mapInPandas(ranged, TILE_SCHEMA)
 
 
 def tile_array(data: bytes, dtype: str, bands: int, size: int) -> np.ndarray:
@@ -227,3 +283,62 @@ def mosaic(tiles: DataFrame, width: int, height: int, size: int, overlap: int, b
     over = lambda off, n: F.sequence(F.floor(F.col(off) / block).cast("int"), F.floor((F.col(off) + F.col(n) - 1) / block).cast("int"))
     dealt = tiles.withColumn("block_row", F.explode(over("row_off", "actual_h"))).withColumn("block_col", F.explode(over("col_off", "actual_w")))
     return dealt.groupBy("block_row", "block_col").applyInPandas(assemble, "block_row int, block_col int, height int, width int, dtype string, data binary")
+
+
+def write_blocks(blocks: DataFrame, path: str, scratch, width: int, height: int, block: int, bands: int, dtype: str, transform: tuple[float, ...], epsg: int | None = None, nodata: float | None = None) -> None:
+    """One tiled GeoTIFF from rows (block_row, block_col, height, width, data), blocks that are missing have no data.
+
+    Blocks are deflated on the executors and written to the shared folder; the driver copies them one after the other
+    into the file (on a mounted path), so it holds one partition at a time. ``block`` is a multiple of 16. Files that may
+    pass 4 GB get 64-bit offsets. The file appears under its name when it is whole.
+    """
+    if block % 16:
+        raise ValueError("the block size must be a multiple of 16")
+    kind, across = np.dtype(dtype).newbyteorder("<"), -(-width // block)
+    n = across * -(-height // block)
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for b in f.itertuples():
+                full = np.full((block, block, bands), nodata or 0, kind)
+                full[: b.height, : b.width] = np.frombuffer(b.data, np.dtype(dtype)).reshape(bands, b.height, b.width).transpose(1, 2, 0)
+                yield pd.DataFrame([(b.block_row * across + b.block_col, zlib.compress(full.tobytes(), 6))], columns=["k", "z"])
+
+    packed = scratch.save(blocks.select("block_row", "block_col", "height", "width", "data").mapInPandas(pack, "k long, z binary"))
+    big = n * (block * block * bands * kind.itemsize + 64) > 3_500_000_000
+    word, inline = ("Q", 8) if big else ("I", 4)
+    a, _, c, _, e, f0 = transform
+    places, counts = [0] * n, [0] * n
+    draft = f"{path}.part"
+    with open(draft, "wb") as out:
+        out.write(b"\0" * 16)
+        for r in packed.toLocalIterator(prefetchPartitions=True):
+            places[r["k"]], counts[r["k"]] = out.tell(), len(r["z"])
+            out.write(r["z"])
+        tags: list[tuple[int, str, list]] = [
+            (256, "I", [width]), (257, "I", [height]), (258, "H", [kind.itemsize * 8] * bands), (259, "H", [8]), (262, "H", [2 if bands >= 3 else 1]),
+            (277, "H", [bands]), (284, "H", [1]), (322, "I", [block]), (323, "I", [block]), (324, word, places), (325, word, counts),
+            (339, "H", [{"u": 1, "i": 2, "f": 3}[kind.kind]] * bands), (33550, "d", [a, -e, 0.0]), (33922, "d", [0.0, 0.0, 0.0, c, f0, 0.0]),
+        ]
+        if bands >= 4:
+            tags.append((338, "H", [0] * (bands - 3)))
+        if epsg:
+            geographic = 4000 <= epsg < 5000
+            tags.append((34735, "H", [1, 1, 0, 3, 1024, 0, 1, 2 if geographic else 1, 1025, 0, 1, 1, 2048 if geographic else 3072, 0, 1, epsg]))
+        if nodata is not None:
+            tags.append((42113, "s", [f"{nodata:g}\0".encode()]))
+        kinds, entries = {v: k for k, v in _KINDS.items()}, b""
+        for tag, code, values in sorted(tags, key=lambda t: t[0]):
+            raw = values[0] if code == "s" else struct.pack(f"<{len(values)}{code}", *values)
+            cell = raw.ljust(inline, b"\0")
+            if len(raw) > inline:
+                out.write(b"\0" * (out.tell() % 2))
+                cell = struct.pack(f"<{word}", out.tell())
+                out.write(raw)
+            entries += struct.pack(f"<HH{word}", tag, kinds[code], len(raw) if code == "s" else len(values)) + cell
+        out.write(b"\0" * (out.tell() % 2))
+        at = out.tell()
+        out.write(struct.pack("<Q" if big else "<H", len(tags)) + entries + b"\0" * inline)
+        out.seek(0)
+        out.write(struct.pack("<2sHHHQ", b"II", 43, 8, 0, at) if big else struct.pack("<2sHI", b"II", 42, at))
+    os.replace(draft, path)

@@ -102,3 +102,38 @@ def test_warp_identity_and_overview(spark, ortho):
 def test_region_names_are_stable(spark, scratch):
     cells = spark.range(40).select((F.col("id") / 8).cast("long").alias("y"), (F.col("id") % 8).alias("x"), F.lit(1).alias("label"))
     assert polygons.label_regions(cells, "label", scratch).select("region").distinct().count() == 1
+
+
+def test_a_large_file_is_read_in_ranges_and_written_by_blocks(spark, scratch, ortho, tmp_path):
+    folder, r = ortho
+    assert (tiff.Reader(tiff.Ranges(f"file:{folder}/a.tif")).read(5, 7, 40, 50) == r.data[:, 5:45, 7:57]).all()
+    blocks = models.warp(spark, f"file:{folder}/a.tif", r.transform, 200, 150, block=64)
+    assert blocks.count() == 12
+    out = str(tmp_path / "b.tif")
+    tiff.write_blocks(blocks.filter("block_row <> 1 or block_col <> 1"), out, scratch, 200, 150, 64, 3, "u1", r.transform, 32755, 7)
+    back = tiff.Reader(open(out, "rb").read())
+    want = r.data.copy()
+    want[:, 64:128, 64:128] = 7
+    assert (back.read() == want).all() and (back.transform, back.epsg, back.nodata) == (r.transform, 32755, 7)
+
+
+def test_64_bit_files(spark, scratch, ortho, tmp_path, monkeypatch):
+    _, r = ortho
+    rows = [(0, 0, 150, 200, r.data.tobytes())]
+    blocks = spark.createDataFrame(rows, "block_row int, block_col int, height int, width int, data binary")
+    out = str(tmp_path / "big.tif")
+    # a grid that could pass 4 GB: one block is there, the others are left out
+    tiff.write_blocks(blocks, out, scratch, 40000, 30000, 208, 3, "u1", r.transform, 32755)
+    back = tiff.Reader(tiff.Ranges(f"file:{out}"))
+    assert back.big and (back.read(0, 0, 150, 200) == r.data).all() and not back.read(29000, 39000, 300, 300).any()
+
+
+def test_a_geographic_raster_is_made_projected():
+    lon, lat, step = 147.0, -36.0, 1e-4
+    y, x = np.mgrid[0:40, 0:60]
+    rd = tiff.Reader(tiff.encode(tiff.Raster((x * 2 + y)[None].astype(np.float32), (step, 0.0, lon, 0.0, -step, lat), 4326)))
+    epsg, target, width, height, back = models.target_grid(rd, 5.0)
+    assert epsg == 32755 and abs(width * 5 - 60 * step * 111320 * np.cos(np.radians(lat))) < 20 and abs(height * 5 - 40 * step * 110950) < 20
+    a = models.warp_window(rd, target, height // 2, width // 2, 1, 1, back)[0, 0, 0]
+    px = back(target[2] + (width // 2 + 0.5) * 5, target[5] - (height // 2 + 0.5) * 5)
+    assert a == pytest.approx(((px[0] - lon) / step - 0.5) * 2 + (lat - px[1]) / step - 0.5, abs=0.01)
