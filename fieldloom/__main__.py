@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import datetime
 import json
+import os
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.config import Settings
+from fieldloom.functions import grid
+from fieldloom.operators import spatial
 
 
 def _session() -> SparkSession:
@@ -93,27 +99,278 @@ def clean(a, s: Settings) -> None:
     print(gpkg.delete(_session(), a.polygons, where, a.backup))
 
 
+# --- rasters -----------------------------------------------------------------------------------------------
+
+
+def _reader(path: str):
+    from fieldloom.sources import tiff
+
+    return tiff.Reader(tiff.Ranges(path if ":" in path else f"file:{os.path.abspath(path)}"))
+
+
+def _write(blocks, out: str, width: int, height: int, block: int, bands: int, dtype: str, like, nodata=None) -> None:
+    from fieldloom.sources import tables, tiff
+
+    tiff.write_blocks(blocks, out, tables.Scratch(blocks.sparkSession), width, height, block, bands, dtype, like[0], like[1], nodata)
+
+
+def prepare(a, s: Settings) -> None:
+    """Nothing is done where the result of the same file and resolution is there already."""
+    from fieldloom.operators import models
+
+    made_of = {"path": os.path.abspath(a.ortho), "size": os.path.getsize(a.ortho), "mtime": os.path.getmtime(a.ortho), "resolution": s.resolution}
+    note = f"{a.out}.json"
+    if not a.force and os.path.exists(a.out) and os.path.exists(note) and json.load(open(note)) == made_of:
+        return
+    r = _reader(a.ortho)
+    epsg, target, width, height, back = models.target_grid(r, s.resolution)
+    blocks = models.warp(_session(), f"file:{made_of['path']}", target, width, height, back)
+    _write(blocks, a.out, width, height, 512, r.bands, r.dtype.newbyteorder("=").str, (target, epsg), r.nodata)
+    with open(note, "w") as f:
+        json.dump(made_of, f)
+
+
+def mosaic(a, s: Settings) -> None:
+    from fieldloom.sources import tiff
+
+    tiles = _session().read.parquet(a.tiles).filter(F.col("site") == a.site)
+    first = tiles.orderBy("row_idx", "col_idx").first()
+    if first is None:
+        raise ValueError(f"site {a.site} has no tiles")
+    height, width = tiles.agg(F.max(F.col("row_off") + F.col("actual_h")), F.max(F.col("col_off") + F.col("actual_w"))).first()
+    p, q, r, t, u, v = first["transform"]
+    at = (p, q, r - p * first["col_off"] - q * first["row_off"], t, u, v - t * first["col_off"] - u * first["row_off"])
+    _write(tiff.mosaic(tiles, width, height, s.tile_size, s.overlap, int(a.band)), a.out, width, height, 512, 1, first["dtype"], (at, first["epsg"]))
+
+
+def rasterize(a, s: Settings) -> None:
+    from fieldloom.operators import lookup, polygons
+
+    spark, r = _session(), _reader(a.ortho)
+    classes = spark.createDataFrame(s.named(), "class_id int, c_name string")
+    rows = _layer(spark, a).join(F.broadcast(classes), F.col("species") == F.col("c_name"))
+    rows = rows.withColumn("band", F.when(lookup.is_seed(F.col("source"), lookup.MANUAL), 2.0).otherwise(1.0))
+    blocks = polygons.burn(rows, r.width, r.height, r.transform, "class_id", "band", "class_id")
+    _write(blocks, a.out, r.width, r.height, 256, 1, "u1", (r.transform, r.epsg), 255)
+
+
+# --- candidates and propagation ----------------------------------------------------------------------------
+
+
+def _layer(spark, a):
+    from fieldloom.sources import gpkg
+
+    # the drawing tool's own area goes: column names don't tell capitals apart
+    return gpkg.load(spark, a.polygons).filter(F.col("site") == a.site).drop("Area").withColumnRenamed("geom_area", "area")
+
+
+def _tiles_and_patches(spark, a, s: Settings):
+    """Tiles and patches under one number per tile, and the number of tiles in a row."""
+    tiles = spark.read.parquet(a.tiles).filter(F.col("site") == a.site)
+    across = (tiles.agg(F.max("col_idx")).first()[0] or 0) + 1
+    number = F.col("row_idx").cast("long") * across + F.col("col_idx")
+    t = F.col("transform")
+    xs, ys = ([F.least(k, k + t[i] * s.tile_size), F.greatest(k, k + t[i] * s.tile_size)] for i, k in ((0, t[2]), (4, t[5])))
+    tiles = tiles.select(number.alias("tile_idx"), "transform", F.lit(s.tile_size).alias("size"), xs[0].alias("x0"), ys[0].alias("y0"), xs[1].alias("x1"), ys[1].alias("y1"))
+    patches = spark.read.parquet(a.features).filter(F.col("site") == a.site).select(number.alias("tile_idx"), "pr", "pc", "feat")
+    return tiles, patches, across
+
+
+def _cell(tiles) -> float:
+    """The cell of the joins by boxes: a tile's side."""
+    return float(tiles.agg(F.max(F.col("x1") - F.col("x0"))).first()[0] or 1.0)
+
+
+def candidates(a, s: Settings) -> None:
+    """Candidates are the polygons of a vector file, or else the connected regions of equal clusters in each tile."""
+    from fieldloom.operators import polygons, propagate
+    from fieldloom.sources import gpkg, tables
+
+    spark = _session()
+    tiles, patches, across = _tiles_and_patches(spark, a, s)
+    per = s.tile_size // 14
+    if a.vector:
+        shapes = gpkg.read_polygons(spark, a.vector)
+    else:
+        cells = spark.read.parquet(a.cells).filter(F.col("site") == a.site)
+        r, c = grid.tile_of_name(F.col("stem"))
+        high = (r.cast("long") * across + c) * (per + 1)  # tiles lie below one another with a gap, so that no region leaves its tile
+        found = polygons.polygonize(cells.select((high + F.col("pr")).alias("y"), F.col("pc").cast("long").alias("x"), "cluster_id"), "cluster_id", tables.Scratch(spark))
+        found = found.withColumn("t_idx", F.floor(F.col("y0") / (per + 1)))
+        found = found.join(tiles.select("tile_idx", "transform"), F.col("t_idx") == F.col("tile_idx"))
+        up = s.tile_size / per
+        t, top = F.col("transform"), F.col("t_idx") * (per + 1)
+        affine = F.array(t[0] * up, t[1] * up, t[2] - t[1] * up * top, t[3] * up, t[4] * up, t[5] - t[4] * up * top)
+        placed = found.select(polygons.st_affine(F.col("wkb"), affine).alias("wkb"))
+        shapes = polygons.with_bounds(placed).withColumn("area", polygons.st_area("wkb"))
+    shapes = tables.Scratch(spark).save(shapes.select(F.xxhash64("wkb").alias("cid"), "wkb", "area", *spatial.BOX).dropDuplicates(["cid"]))
+    out = propagate.candidate_library(shapes, "cid", tiles, patches, per, _cell(tiles), s)
+    out.withColumn("site", F.lit(a.site)).write.mode("overwrite").partitionBy("site").option("partitionOverwriteMode", "dynamic").parquet(a.out)
+
+
+def propagate(a, s: Settings) -> None:
+    """Candidates like the seeds of a species, and unlike those of the others, are added to the site's polygons."""
+    from functools import reduce
+
+    from fieldloom.operators import propagate as p
+    from fieldloom.operators import vectors
+    from fieldloom.sources import gpkg, tables
+
+    spark = _session()
+    s = dataclasses.replace(s, **{k: float(v) for k in ("threshold", "margin") if (v := getattr(a, k)) is not None})
+    tiles, patches, _ = _tiles_and_patches(spark, a, s)
+    layer, cell, per = tables.Scratch(spark).save(_layer(spark, a)), _cell(tiles), s.tile_size // 14
+    layer = layer.withColumn("sid", F.xxhash64("wkb"))
+    protos = []
+    for _, name in s.named():  # a few classes
+        seeds = p.seeds_of(layer, name, s)
+        if seeds.isEmpty():
+            continue
+        try:
+            protos.append(p.prototype_of(seeds, "sid", tiles, patches, per, cell, s).withColumn("species", F.lit(name)))
+        except ValueError:
+            if name == a.species:
+                raise
+    rows = tables.Scratch(spark).save(reduce(lambda x, y: x.unionByName(y), protos)) if protos else None
+    if rows is None or rows.filter(F.col("species") == a.species).isEmpty():
+        raise ValueError(f"no seeds of {a.species}")
+    found = spark.read.parquet(a.candidates).filter(F.col("site") == a.site).drop("site")
+    stamp = datetime.datetime.now(datetime.timezone.utc).isoformat(timespec="seconds")
+    new, scored = p.propagate(found, "cid", layer, rows, a.species, stamp, cell, s)
+    new = tables.Scratch(spark).save(new)
+    vectors.histogram(scored, "sim_x").orderBy("bin").show()
+    print(f"{new.count()} new polygons of {a.species}")
+    gpkg.append(new.withColumn("site", F.lit(a.site)).withColumnRenamed("cid", "fid"), a.polygons)
+
+
+# --- exchange ----------------------------------------------------------------------------------------------
+
+
+def import_labels(a, s: Settings) -> None:
+    from fieldloom.functions import names
+    from fieldloom.operators import exchange, lookup
+    from fieldloom.sources import gpkg, tables
+
+    spark, scratch = _session(), tables.Scratch(_session())
+    known = [n for _, n in s.named()]
+    classes = spark.createDataFrame([(n,) for n in known], "name string")
+    r = _reader(a.ortho)
+    corners = [(r.transform[2] + r.transform[0] * u, r.transform[5] + r.transform[4] * v) for u, v in ((0, 0), (r.width, r.height))]
+    box = (min(x for x, _ in corners), min(y for _, y in corners), max(x for x, _ in corners), max(y for _, y in corners))
+    everything = scratch.save(gpkg.read_polygons(spark, a.source))
+    for file in [x[0] for x in everything.select("path").distinct().orderBy("path").collect()]:  # the files that a person named
+        rows = everything.filter(F.col("path") == file)
+        field = a.field
+        if not field:
+            fields = [x[0] for x in rows.select(F.explode(F.map_keys("attrs")).alias("k")).distinct().orderBy("k").collect()]  # a table's columns
+            spelt = known + [x[0] for x in classes.select(names.abbreviated(F.col("name"))).collect()]
+            field = lookup.guess_field(rows.select(*[F.col("attrs")[f].alias(f) for f in fields]), fields, spelt).first()["field"] if fields else None
+            if field is None:
+                raise ValueError(f"{file}: no column has known names; use --field")
+        stem = os.path.splitext(os.path.basename(file))[0]
+        existing = scratch.save(_layer(spark, a))
+        new, report = exchange.import_rows(rows, existing, classes, field, stem, box, names.overrides(a.map or [], set(known)), float(a.min_inside), float(a.dup_iou), max(box[2] - box[0], box[3] - box[1], 1e-6) / 256, scratch)
+        report.show(1000, False)
+        if not a.dry_run:
+            gpkg.append(new.withColumn("site", F.lit(a.site)).withColumn("source", F.lit("nesp")).withColumn("fid", F.xxhash64("lb_note")), a.polygons)
+
+
+def export_labels(a, s: Settings) -> None:
+    """The rows to send, with their new ids, are added to a table, and then to the log of what was sent."""
+    from fieldloom.operators import exchange
+    from fieldloom.sources import gpkg, tables
+
+    spark, scratch = _session(), tables.Scratch(_session())
+    target = gpkg.read_polygons(spark, a.to).select(F.col("attrs")[a.id_field].try_cast("long").alias("id"), "wkb", "area", *spatial.BOX)
+    rows = _layer(spark, a).withColumn("layer", F.col("species")).withColumn("part", F.lit(0))
+    log = spark.createDataFrame([], "layer string, fid long, site string")
+    try:
+        log = scratch.save(spark.read.schema("layer string, fid long, site string").parquet(a.log))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    sides = rows.agg(F.avg(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
+    send, counts = exchange.export_rows(rows, target, log.filter(F.col("site") == a.site), float(sides or 1.0), scratch, float(a.dedup_iou), a.include_imported, a.species, a.all, int(a.width) if a.width else None)
+    counts.orderBy("layer").show(1000, False)
+    if not a.dry_run:
+        send = scratch.save(send.withColumn("site", F.lit(a.site)))
+        send.write.mode("append").parquet(a.out)
+        send.select("layer", "fid", "site").write.mode("append").parquet(a.log)
+
+
+# --- models ------------------------------------------------------------------------------------------------
+
+
+def train(a, s: Settings) -> None:
+    from fieldloom.operators import models
+
+    spark = _session()
+    f, m = (spark.read.parquet(x).filter(F.col("site") == a.site) for x in (a.features, a.maps))
+    fitted = models.PatchTrainer().fit(models.labelled_patches(f, m, s.tile_size, s.tile_size // 14))
+    with open(a.out, "w") as out:
+        json.dump({"coef": fitted.coefficientMatrix.toArray().tolist(), "intercept": fitted.interceptVector.toArray().tolist()}, out)
+
+
+def infer(a, s: Settings) -> None:
+    import numpy as np
+
+    from fieldloom.operators import models
+    from fieldloom.sources import tiff
+
+    r, given = _reader(a.ortho), json.load(open(a.model))
+    coef, intercept = np.array(given["coef"]), np.array(given["intercept"])
+    total = max(len(intercept), max(s.classes) + 1)
+    make = models.patch_logits(coef, intercept, list(range(len(intercept))), total)
+    tiles = tiff.read_tiles(_session(), a.ortho, s.tile_size, s.overlap, 0.0)
+    _write(models.infer(tiles, r.width, r.height, s.tile_size, s.overlap, total, make), a.out, r.width, r.height, 256, 1, "u1", (r.transform, r.epsg), 255)
+
+
+def validate(a, s: Settings) -> None:
+    """Class IoUs of two class rasters of one grid; pixels without truth don't count."""
+    from fieldloom.operators import metrics, models
+    from fieldloom.sources import tiff
+
+    spark = _session()
+    sides = [tiff.read_tiles(spark, x, 512, 0, 0.0, pad=False).select("row_idx", "col_idx", "data").withColumnRenamed("data", n) for x, n in ((a.truth, "truth"), (a.pred, "pred"))]
+    per = metrics.iou_of_counts(models.confusion(sides[0].join(sides[1], ["row_idx", "col_idx"]))).filter(F.col("cls") != 255)
+    classes = spark.createDataFrame(sorted(s.classes.items()), "class_id int, name string")
+    per.join(F.broadcast(classes), F.col("cls") == F.col("class_id"), "left").select("cls", "name", "inter", "uni", "iou").orderBy("cls").show(1000, False)
+    metrics.mean_iou(per).show()
+
+
+def layers(a, s: Settings) -> None:
+    from fieldloom.sources import gpkg
+
+    gpkg.list_layers(_session(), a.source).orderBy("path", "layer").show(1000, False)
+
+
+#: Each command's function, its required options, its further options with their defaults (False makes a switch).
 COMMANDS = {
-    "tile": (tile, ("ortho", "site", "out")), "features": (features, ("tiles", "site", "out")), "cluster": (cluster, ("features", "site", "out")),
-    "montage": (montage, ("cells", "site", "out")), "pseudolabel": (pseudolabel, ("cells", "names", "site", "out")), "init": (init, ("polygons", "site")),
-    "ingest": (ingest, ("source", "site", "polygons")), "count": (count, ("polygons",)), "clean": (clean, ("polygons", "site")),
+    "tile": (tile, ("ortho", "site", "out"), {}), "features": (features, ("tiles", "site", "out"), {}), "cluster": (cluster, ("features", "site", "out"), {}),
+    "montage": (montage, ("cells", "site", "out"), {}), "pseudolabel": (pseudolabel, ("cells", "names", "site", "out"), {}),
+    "init": (init, ("polygons", "site"), {"force": False}), "ingest": (ingest, ("source", "site", "polygons"), {}), "count": (count, ("polygons",), {}),
+    "clean": (clean, ("polygons", "site"), {"species": None, "all": False, "backup": None}), "layers": (layers, ("source",), {}),
+    "prepare": (prepare, ("ortho", "out"), {"force": False}), "mosaic": (mosaic, ("tiles", "site", "out"), {"band": "0"}),
+    "rasterize": (rasterize, ("polygons", "site", "ortho", "out"), {}),
+    "candidates": (candidates, ("tiles", "features", "site", "out"), {"cells": None, "vector": None}),
+    "propagate": (propagate, ("polygons", "candidates", "tiles", "features", "site", "species"), {"threshold": None, "margin": None}),
+    "import": (import_labels, ("source", "polygons", "site", "ortho"), {"field": None, "map": [], "min_inside": "0.5", "dup_iou": "0.95", "dry_run": False}),
+    "export": (export_labels, ("polygons", "site", "to", "out", "log"), {"id_field": "id", "species": None, "include_imported": False, "all": False, "dedup_iou": "0.9", "width": None, "dry_run": False}),
+    "train": (train, ("features", "maps", "site", "out"), {}), "infer": (infer, ("ortho", "model", "out"), {}), "validate": (validate, ("truth", "pred"), {}),
 }
 
 
 def main(argv: list[str]) -> int:
     top = argparse.ArgumentParser(prog="fieldloom")
     subs = top.add_subparsers(dest="command", required=True)
-    for name, (_, needed) in COMMANDS.items():
-        p = subs.add_parser(name)
+    for name, (run, needed, more) in COMMANDS.items():
+        p = subs.add_parser(name, description=run.__doc__)
         p.add_argument("--config", help="a JSON file of settings")
         for x in needed:
             p.add_argument(f"--{x}", required=True)
-        if name == "init":
-            p.add_argument("--force", action="store_true")
-        if name == "clean":
-            p.add_argument("--species")
-            p.add_argument("--all", action="store_true", help="hand-drawn ones too")
-            p.add_argument("--backup", help="a new folder for a copy of the table")
+        for x, default in more.items():
+            kind = {"action": "store_true"} if default is False else {"action": "append"} if default == [] else {"default": default}
+            p.add_argument(f"--{x.replace('_', '-')}", **kind)
     a = top.parse_args(argv)
     given = json.load(open(a.config)) if a.config else None
     COMMANDS[a.command][0](a, Settings.of(given))
