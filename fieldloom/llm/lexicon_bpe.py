@@ -35,6 +35,10 @@ _LETTERS_OR_DIGITS = regex.compile(r"[\p{L}\p{N}]")
 LEXICON_WORDS = 100_000
 #: Entries a worker keeps of words it has met before it forgets them.
 CACHE_WORDS = 250_000
+#: Longer words (in scripts without spaces a whole sentence is one) are merged where they occur and not kept.
+LONG_WORD = 64
+#: Characters read after which a task sends on the words it has counted.
+COUNTED_CHARS = 100_000_000
 
 
 @functools.cache
@@ -104,8 +108,8 @@ class Codec:
             at += 4 * int(self.offsets[-1])
             self.lexicon = Transducer(memoryview(data)[at : at + size])
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Resolve words that this worker has not met: the automaton first, exact merging for the rest."""
+    def learn(self, words: Iterable[str]) -> list[str]:
+        """Resolve words that this worker has not met: the automaton first, exact merging for the rest. Long ones are returned, to be forgotten after use."""
         wanted = set(words)
         new = [w for w in wanted if w not in self.seen]
         if len(self.seen) + len(new) > CACHE_WORDS:
@@ -115,13 +119,17 @@ class Codec:
         rank = self.lexicon.lookup(data) if self.lexicon else np.full(len(new), -1)
         for w, b, r in zip(new, data, rank.tolist()):
             self.seen[w] = self.ids[self.offsets[r] : self.offsets[r + 1]].tobytes() if r >= 0 else packed(self.merger.encode(b))
+        return [w for w in new if len(w) > LONG_WORD]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [list(self.words.split(t)) for t in texts]
-        self.learn(w for p in parts for _, ws in p for w in ws)
+        long = self.learn(w for p in parts for _, ws in p for w in ws)
         get = self.seen.__getitem__
-        return [b"".join(b"".join(map(get, ws)) + (self.special[s] if s else b"") for s, ws in p) for p in parts]
+        out = [b"".join(b"".join(map(get, ws)) + (self.special[s] if s else b"") for s, ws in p) for p in parts]
+        for w in long:
+            del self.seen[w]
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The file has no decoder, so tokens are joined with spaces."""
@@ -129,32 +137,35 @@ class Codec:
 
 
 def word_counts(df: DataFrame, text_col: str, special: Iterable[str]) -> DataFrame:
-    """How often each word occurs in all texts: (word, n). Tasks add up what they have before they send it."""
+    """How often each word of up to ``LONG_WORD`` characters occurs in all texts: (word, n). Tasks add up what they have before they send it."""
     special = list(special)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, found = Words(special), Counter()
+        words, found, read = Words(special), Counter(), 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+            short = [w for w in found if len(w) <= LONG_WORD]
+            return pa.RecordBatch.from_arrays([pa.array(short, pa.string()), pa.array([found[w] for w in short], pa.int64())], names=["word", "n"])
 
         for b in batches:
             for t in b.column(0).to_pylist():
                 for _, ws in words.split(t or ""):
                     found.update(ws)
-                if len(found) > CACHE_WORDS:
+                read += len(t or "")
+                if len(found) > CACHE_WORDS or read > COUNTED_CHARS:
                     yield out()
                     found.clear()
+                    read = 0
         yield out()
 
     return df.select(F.col(text_col).alias("__text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def compile_lexicon(df: DataFrame, text_col: str, path: str, size: int = LEXICON_WORDS) -> bytes:
-    """The ``size`` most frequent words (ties by word) with their ids, as one block of bytes."""
+    """The ``size`` most frequent words of up to ``LONG_WORD`` characters (ties by word) with their ids, as one block of bytes."""
     merger = Merger(path)
     top = word_counts(df, text_col, merger.added).orderBy(F.desc("n"), "word").limit(size).collect()
-    words = sorted(r["word"].encode() for r in top if len(r["word"]) <= 64)
+    words = sorted(r["word"].encode() for r in top)
     ids = [merger.encode(w) for w in words]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
     fst = build({w: r for r, w in enumerate(words)})
