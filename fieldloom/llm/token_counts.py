@@ -37,6 +37,10 @@ HERE, BACK = 1, 2
 
 LEXICON_WORDS = 100_000
 CACHE_WORDS = 500_000
+#: Longer pre-tokens are merged where they occur and not kept.
+LONG_WORD = 64
+#: Characters read after which a task sends on the pre-tokens it has counted.
+COUNTED_CHARS = 100_000_000
 
 
 def machine() -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +189,8 @@ class Counts:
         each = np.bincount(np.asarray(owner)[part], minlength=len(texts)) if len(part) else np.zeros(len(texts), np.int64)
         return words, each, special
 
-    def learn(self, words: Iterable[str]) -> None:
+    def learn(self, words: Iterable[str]) -> list[str]:
+        """Count the tokens of pre-tokens that this worker has not met. Long ones are returned, to be forgotten after use."""
         wanted = set(words)
         new = [w for w in wanted if w not in self.seen]
         if len(self.seen) + len(new) > CACHE_WORDS:
@@ -195,43 +200,49 @@ class Counts:
         found = self.lexicon.lookup(data) if self.lexicon else np.full(len(new), -1)
         for w, b, n in zip(new, data, found.tolist()):
             self.seen[w] = n if n >= 0 else len(self.merger.encode(b))
+        return [w for w in new if len(w) > LONG_WORD]
 
     def count(self, texts: list[str]) -> list[int]:
         words, each, special = self.pretokens(texts)
-        self.learn(words)
+        long = self.learn(words)
         total = np.concatenate([[0], np.cumsum(np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words)))])
+        for w in long:
+            del self.seen[w]
         at = np.concatenate([[0], np.cumsum(each)])
         return (total[at[1:]] - total[at[:-1]] + special).tolist()
 
 
 def pretoken_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
-    """How often each pre-token occurs in all texts: (word, n). Tasks add up what they have before they send it."""
+    """How often each pre-token of up to ``LONG_WORD`` characters occurs in all texts: (word, n). Tasks add up what they have before they send it."""
 
     plain = Shared(df.sparkSession, None)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kernel, found = plain.get(lambda _: Counts(path)), Counter()
+        kernel, found, read = plain.get(lambda _: Counts(path)), Counter(), 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+            short = [w for w in found if len(w) <= LONG_WORD]
+            return pa.RecordBatch.from_arrays([pa.array(short, pa.string()), pa.array([found[w] for w in short], pa.int64())], names=["word", "n"])
 
         for b in batches:
             texts = [t or "" for t in b.column(0).to_pylist()]
             for i, j in slices(texts):
                 found.update(kernel.pretokens(texts[i:j])[0])
-                if len(found) > CACHE_WORDS:
+                read += sum(map(len, texts[i:j]))
+                if len(found) > CACHE_WORDS or read > COUNTED_CHARS:
                     yield out()
                     found.clear()
+                    read = 0
         yield out()
 
     return df.select(F.col(text_col).alias("__text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def compile_counts(df: DataFrame, text_col: str, path: str, size: int = LEXICON_WORDS) -> bytes:
-    """The transducer of the ``size`` most frequent pre-tokens (ties by text)."""
+    """The transducer of the ``size`` most frequent pre-tokens of up to ``LONG_WORD`` characters (ties by text)."""
     merger = Merger(path)
     top = pretoken_counts(df, text_col, path).orderBy(F.desc("n"), "word").limit(size).collect()
-    return build({w: len(merger.encode(w)) for w in (r["word"].encode() for r in top if len(r["word"]) <= 64)})
+    return build({w: len(merger.encode(w)) for w in (r["word"].encode() for r in top)})
 
 
 def count_documents(
