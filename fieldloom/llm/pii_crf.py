@@ -18,7 +18,9 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -282,10 +284,12 @@ def _logsum(xs: list[float]) -> float:
 def find(text: str, w: dict[str, float]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, all spans), each as (start, kind, end) in code points and in order."""
     base = base_spans(text)
+    starts, reach = [x for x, _, _ in base], list(accumulate((y for _, _, y in base), max))
     added = []
     for a, b in windows(text):
         for s, k, e in decode(text, a, b, w):
-            if not any(s < y and x < e for x, _, y in base):
+            before = bisect_left(starts, e)  # base spans that start before this one's end
+            if not before or reach[before - 1] <= s:
                 added.append((s, k, e))
     return base, sorted(base + added)
 
