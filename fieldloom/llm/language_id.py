@@ -6,7 +6,8 @@ each language, the logistic losses between its codeword and the predicted margin
 did in training, and chooses the nearest codeword; a small lead over the second flags the text as ambiguous.
 
 The classifiers are fitted on a sample of at most about ``PER_LANGUAGE`` rows for each language (fewer where there
-are many languages), chosen by a hash of the text, so that the same rows are drawn in every run.
+are many languages), chosen by a hash of the text, so that the same rows are drawn in every run. Of copies of a text
+one counts, so a large group of them cannot swell the sample.
 """
 
 from __future__ import annotations
@@ -121,7 +122,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     share = F.create_map(*[F.lit(v) for lang in langs for v in (lang, each / counts[lang])])[F.col(lang_col)]
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(text_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     number = F.create_map(*[F.lit(v) for k, lang in enumerate(langs) for v in (lang, k)])[F.col(lang_col)]
-    picked = rows.filter(draw < share).select(number.alias("k"), F.col(text_col).alias("t"))
+    picked = rows.filter(draw < share).select(number.alias("k"), F.col(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
+    picked = picked.dropDuplicates(["k", "h"])  # copies are drawn together; one of them counts, whatever their number
 
     def kernel(texts: list[str]) -> list[list]:
         return [[v.tobytes() for v in vectors(texts)[0].astype(np.float16)]]
