@@ -189,6 +189,19 @@ def test_counts_equal_the_library(docs, odd, none):
     assert token_counts.count_documents(none, BYTE).count() == 0
 
 
+def test_long_words_are_counted_and_not_kept(spark):
+    xs = ["中" * 300 + " plain " + "x" * 5000, "中" * 65, "y" * 64]
+    for one, t, run in ((lexicon_bpe.Codec(WORD), library(WORD), "encode"), (token_counts.Counts(BYTE), library(BYTE), "count")):
+        ids = [t.encode(x, add_special_tokens=False).ids for x in xs]
+        want = [np.array(i, "<u4").tobytes() for i in ids] if run == "encode" else [len(i) for i in ids]
+        for _ in range(2):
+            assert getattr(one, run)(xs) == want
+            assert one.seen and max(map(len, one.seen)) <= 64
+    df = spark.createDataFrame([(x,) for x in xs], "text string")
+    assert {r["word"] for r in lexicon_bpe.word_counts(df, "text", []).collect()} == {"plain", "y" * 64}
+    assert {r["word"] for r in token_counts.pretoken_counts(df, "text", BYTE).collect()} == {" plain", "y" * 64}
+
+
 def test_prefix_scan_composes_state_maps():
     rng = np.random.default_rng(1)
     maps = rng.integers(0, 5, (23, 5))
@@ -412,9 +425,26 @@ def test_long_digit_runs_are_quick():
     assert len(pii_crf.find(t, pii_crf.trained())) == 2
 
 
+def test_many_entities_are_quick():
+    t = "a@b.cd 10.0.0.1 x 35.1 4111111111111111 " * 3000
+    base, every = pii_crf.find(t, pii_crf.trained())
+    assert len(every) >= 9000 and set(base) <= set(every)
+    assert not any(s < y and x < e for (s, k, e) in every[:200] if (s, k, e) not in base for x, _, y in base[:400])
+
+
 # --- 7: languages ------------------------------------------------------------------------------------------
 
 
+def test_copies_do_not_swell_the_sample(spark, monkeypatch):
+    sizes = []
+    learn = language_id.Model.__init__
+    monkeypatch.setattr(language_id.Model, "__init__", lambda self, langs, x, y: (sizes.append(np.bincount(y).tolist()), learn(self, langs, x, y))[1])
+    n = F.col("id")
+    df = spark.range(6000).select(n.alias("doc_id"), F.when(n % 3 == 0, F.lit("one copied text")).otherwise(F.concat(F.lit("word "), F.hex(n))).alias("text"), F.when(n % 3 == 0, "a").otherwise("b").alias("lang"))
+    language_id.fit(df)
+    assert len(sizes) == 1 and sizes[0][-1] <= 400 and (len(sizes[0]) == 1 or sizes[0][0] == 1)
+
+
 def test_languages(spark, docs, odd, none):
     got = language_id.identify(docs).join(docs.select(F.col("doc_id").alias("d"), "lang"), F.col("doc_id") == F.col("d")).toPandas()
     assert (got["held_out"] == got["doc_id"].map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)).all()
