@@ -78,6 +78,29 @@ class Shared:
         return Shared._made[self.key]
 
 
+def most_frequent(counts: DataFrame, size: int) -> list[str]:
+    """About ``size`` of the most frequent words of (word, n) rows, sorted; all, if there are no more.
+
+    A sort with a limit would send that many words from every task to the driver. So the words are first counted by
+    classes of their frequency, of which there are under a thousand; the classes that fit are taken whole, and of the next one
+    a share drawn by a hash of the word.
+    """
+    from pyspark.sql import functions as F
+
+    scratch = Scratch(counts.sparkSession)
+    kept = scratch.save(counts.withColumn("class", F.floor(F.log2("n") * 16).cast("int")))
+    left, edge, share = size, -1, 0.0
+    for c, n in sorted(map(tuple, kept.groupBy("class").agg(F.count("*").alias("words")).collect()), reverse=True):
+        if n > left:
+            edge, share = c, left / n
+            break
+        left -= n
+    drawn = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+    words = sorted(r["word"] for r in kept.filter((F.col("class") > edge) | ((F.col("class") == edge) & drawn)).select("word").collect())
+    scratch.drop(kept)
+    return words
+
+
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts that hold about ``limit`` characters each."""
     start = size = 0

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm.bpe import Merger, packed
-from fieldloom.llm.common import Shared, map_texts, mapped_file
+from fieldloom.llm.common import Shared, map_texts, mapped_file, most_frequent
 from fieldloom.llm.transducer import Transducer, build
 
 #: The white space of Unicode's property, which the tokenizer's \s stands for.
@@ -162,10 +162,9 @@ def word_counts(df: DataFrame, text_col: str, special: Iterable[str]) -> DataFra
 
 
 def compile_lexicon(df: DataFrame, text_col: str, path: str, size: int = LEXICON_WORDS) -> bytes:
-    """The ``size`` most frequent words of up to ``LONG_WORD`` characters (ties by word) with their ids, as one block of bytes."""
+    """About ``size`` of the most frequent words of up to ``LONG_WORD`` characters with their ids, as one block of bytes."""
     merger = Merger(path)
-    top = word_counts(df, text_col, merger.added).orderBy(F.desc("n"), "word").limit(size).collect()
-    words = sorted(r["word"].encode() for r in top)
+    words = sorted(w.encode() for w in most_frequent(word_counts(df, text_col, merger.added), size))
     ids = [merger.encode(w) for w in words]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
     fst = build({w: r for r, w in enumerate(words)})

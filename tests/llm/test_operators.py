@@ -202,6 +202,17 @@ def test_long_words_are_counted_and_not_kept(spark):
     assert {r["word"] for r in token_counts.pretoken_counts(df, "text", BYTE).collect()} == {" plain", "y" * 64}
 
 
+def test_most_frequent_words(spark):
+    from fieldloom.llm.common import most_frequent
+
+    counts = spark.createDataFrame([(f"w{k}", 1000 // (k + 1)) for k in range(1000)], "word string, n long")
+    assert most_frequent(counts, 5000) == sorted(f"w{k}" for k in range(1000))
+    got = most_frequent(counts, 100)
+    assert {f"w{k}" for k in range(80)} <= set(got) and len(got) <= 110
+    assert 50 <= len(most_frequent(counts.withColumn("n", F.lit(1).cast("long")), 100)) <= 150
+    assert most_frequent(counts.limit(0), 100) == []
+
+
 def test_prefix_scan_composes_state_maps():
     rng = np.random.default_rng(1)
     maps = rng.integers(0, 5, (23, 5))
