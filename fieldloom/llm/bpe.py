@@ -31,26 +31,20 @@ class Merger:
         self.symbols = byte_symbols()
 
     def tokens(self, word: bytes) -> list[str]:
-        """Merge the lowest-ranked pair, leftmost first, until none is left."""
+        """Merge the lowest-ranked pair, leftmost first, until none is left; only the pairs beside a merge are ranked anew."""
         s = [self.symbols[b] for b in word]
         if s and self.suffix:
             s[-1] += self.suffix
-        rank, none = self.rank, len(self.rank)
-        while len(s) > 1:
-            ranks = [rank.get(p, none) for p in zip(s, s[1:])]
-            best = min(ranks)
-            if best == none:
-                break
-            a, b = s[i := ranks.index(best)], s[i + 1]
-            out, i, n = [], 0, len(s)
-            while i < n:
-                if i + 1 < n and s[i] == a and s[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(s[i])
-                    i += 1
-            s = out
+        get, none = self.rank.get, len(self.rank)
+        ranks = [get(p, none) for p in zip(s, s[1:])]
+        while ranks and (best := min(ranks)) != none:
+            i = ranks.index(best)
+            del ranks[i]
+            new = s[i] = s[i] + s.pop(i + 1)
+            if i:
+                ranks[i - 1] = get((s[i - 1], new), none)
+            if i < len(ranks):
+                ranks[i] = get((new, s[i + 1]), none)
         return s
 
     def long_tokens(self, word: bytes) -> list[str]:
