@@ -5,9 +5,9 @@ three characters, lower case, all non-letters as blanks) predicts the bit from a
 each language, the logistic losses between its codeword and the predicted margins, weighted by how well each bit
 did in training, and chooses the nearest codeword; a small lead over the second flags the text as ambiguous.
 
-The classifiers are fitted on a sample of at most about ``PER_LANGUAGE`` rows for each language (fewer where there
-are many languages), chosen by a hash of the text, so that the same rows are drawn in every run. Of copies of a text
-one counts, so a large group of them cannot swell the sample.
+The classifiers are fitted on a sample of at most ``PER_LANGUAGE`` distinct texts of each language (fewer where there
+are many languages): those of the smallest hashes, so that the same ones are drawn in every run. Of copies of a text
+one counts, so a large group of them neither swells the sample nor crowds out others, and no language goes unlearned.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pickle
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldloom.llm.common import Shared, map_texts, slices, small_batches
@@ -114,27 +114,24 @@ class Model:
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model of the rows that are not held out; None if there are none to learn from."""
     rows = df.filter(~held_out(F.col(id_col)) & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = {r["l"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    rows = rows.select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.xxhash64(F.lit("sample"), F.col(text_col)).alias("h"))
+    langs = sorted(r["l"] for r in rows.select("l").distinct().collect())
+    if not langs:
         return None
-    langs = sorted(counts)
     each = max(30, min(PER_LANGUAGE, SAMPLE_ROWS // len(langs)))
-    share = F.create_map(*[F.lit(v) for lang in langs for v in (lang, each / counts[lang])])[F.col(lang_col)]
-    draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(text_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    number = F.create_map(*[F.lit(v) for k, lang in enumerate(langs) for v in (lang, k)])[F.col(lang_col)]
-    picked = rows.filter(draw < share).select(number.alias("k"), F.col(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
-    picked = picked.dropDuplicates(["k", "h"])  # copies are drawn together; one of them counts, whatever their number
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h"))  # every task hands on its first ``each`` of a language only
+    drawn = rows.select("l", "h").distinct().withColumn("place", place).filter(F.col("place") <= each)
+    drawn = F.broadcast(drawn.select(F.col("l").alias("d_l"), F.col("h").alias("d_h")))  # the sample's size
+    number = F.create_map(*[F.lit(v) for k, lang in enumerate(langs) for v in (lang, k)])[F.col("l")]
+    picked = rows.join(drawn, (F.col("l") == F.col("d_l")) & (F.col("h") == F.col("d_h")), "left_semi").select(number.alias("k"), "t", "h")
+    picked = picked.dropDuplicates(["k", "h"])  # one of the copies
 
     def kernel(texts: list[str]) -> list[list]:
         return [[v.tobytes() for v in vectors(texts)[0].astype(np.float16)]]
 
-    got = map_texts(picked, "k", "t", "k long, x binary", kernel).collect()
-    if not got:
-        return None
-    got = sorted((r["k"], bytes(r["x"])) for r in got)
+    got = sorted((r["k"], bytes(r["x"])) for r in map_texts(picked, "k", "t", "k long, x binary", kernel).collect())
     x = np.stack([np.frombuffer(b, np.float16).astype(np.float32) for _, b in got])
-    seen = sorted({k for k, _ in got})
-    return Model([langs[k] for k in seen], x, np.array([seen.index(k) for k, _ in got]))
+    return Model(langs, x, np.array([k for k, _ in got]))
 
 
 def predictor(df: DataFrame, model: Model | None):

@@ -456,6 +456,25 @@ def test_copies_do_not_swell_the_sample(spark, monkeypatch):
     assert len(sizes) == 1 and sizes[0][-1] <= 400 and (len(sizes[0]) == 1 or sizes[0][0] == 1)
 
 
+def test_a_language_of_copies_is_learned(spark):
+    n = F.col("id")
+    text = F.when(n % 3 == 0, F.concat(F.lit("der kleine hund und die katze "), n % 20)).otherwise(F.concat(F.lit("the small dog and a cat "), F.hex(n)))
+    df = spark.range(30_000).select(n.alias("doc_id"), text.alias("text"), F.when(n % 3 == 0, "de").otherwise("en").alias("lang"))
+    assert language_id.fit(df).langs == ["de", "en"]
+    got = language_id.identify(df).join(df.select(F.col("doc_id").alias("d"), "lang"), F.col("doc_id") == F.col("d"))
+    assert got.filter("lang_pred <> lang").count() == 0
+
+
+def test_each_language_learns_its_whole_share(spark, monkeypatch):
+    sizes = []
+    learn = language_id.Model.__init__
+    monkeypatch.setattr(language_id.Model, "__init__", lambda self, langs, x, y: (sizes.append(np.bincount(y).tolist()), learn(self, langs, x, y))[1])
+    n = F.col("id")
+    df = spark.range(12_000).select(n.alias("doc_id"), F.concat(F.lit("text "), F.when(n % 2 == 0, n % 1000).otherwise(n)).alias("text"), F.when(n % 2 == 0, "a").otherwise("b").alias("lang"))
+    language_id.fit(df)
+    assert sizes == [[language_id.PER_LANGUAGE] * 2]
+
+
 def test_languages(spark, docs, odd, none):
     got = language_id.identify(docs).join(docs.select(F.col("doc_id").alias("d"), "lang"), F.col("doc_id") == F.col("d")).toPandas()
     assert (got["held_out"] == got["doc_id"].map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)).all()
