@@ -4,10 +4,16 @@ Rules decide the pages they fit. Hosts with allowed pages are trusted seeds and
 distrusted ones, each by the share of such pages. Trust flows along the links between hosts as a personalised
 PageRank, distrust flows against them. A page that no rule fits takes its host's verdict: block if the host's
 distrust exceeds its trust by more than ``MARGIN``.
+
+Ranks are iterated until ``SAVE_EVERY`` rounds reach no new host and change no host's rank by more than ``TOLERANCE`` of
+it, however many rounds that takes: a chain of links takes as many as it is long. Ranks that would fall below ``FLOOR``
+are held there, so that even a host thousands of links from a seed is told from one that no seed reaches.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +27,9 @@ RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
-DAMPING, ROUNDS, SAVE_EVERY, MARGIN = 0.85, 12, 4, 0.0
+DAMPING, TOLERANCE, FLOOR, SAVE_EVERY, MARGIN = 0.85, 1e-9, 1e-300, 4, 0.0
+#: After so many rounds the damping alone leaves less than ``TOLERANCE`` of the start. Not a bound of the loop; plain versions use it.
+ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HREF = r"""(?i)\shref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
 
@@ -60,18 +68,21 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
 
 
 def spread(seeds: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(host, rank): personalised PageRank of (host, seed) rows along (src, dst, share) rows."""
-    rank = seeds.select("host", F.col("seed").alias("rank"))
-    saved: list[DataFrame] = []
-    for n in range(1, ROUNDS + 1):
-        flow = edges.join(rank, edges.src == rank.host).groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("share") * F.col("rank") * DAMPING).alias("part"))
-        home = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("part"))
-        rank = flow.unionByName(home).groupBy("host").agg(F.sum("part").alias("rank"))
-        if n % SAVE_EVERY == 0:
-            rank = scratch.save(rank)
-            scratch.drop(*saved[:-1])
-            saved = [*saved[-1:], rank]
-    return rank
+    """(host, rank): personalised PageRank of (host, seed) rows along (src, dst, share) rows, to within ``TOLERANCE``."""
+    rank = last = seeds.select("host", F.col("seed").alias("rank"))
+    home = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("part"))
+    while True:
+        for _ in range(SAVE_EVERY):
+            flow = edges.join(rank, edges.src == rank.host).groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("share") * F.col("rank") * DAMPING).alias("part"))
+            rank = flow.unionByName(home).groupBy("host").agg(F.greatest(F.sum("part"), F.lit(FLOOR)).alias("rank"))
+        rank = scratch.save(rank)
+        old = last.select(F.col("host").alias("o_host"), F.col("rank").alias("o_rank"))
+        moved = rank.join(old, F.col("host") == F.col("o_host"), "left").filter(F.col("o_rank").isNull() | (F.abs(F.col("rank") - F.col("o_rank")) > F.col("rank") * TOLERANCE))
+        still = moved.isEmpty()
+        scratch.drop(last)
+        if still:
+            return rank
+        last = rank
 
 
 def shares(edges: DataFrame) -> DataFrame:

@@ -145,6 +145,39 @@ def test_spread_is_personalised_pagerank(spark):
     assert got == pytest.approx(rank)
 
 
+def test_ranks_are_those_of_the_solved_equations(spark):
+    n, rng = 30, random.Random(12)
+    edges = [(i, i + 1, 1.0) for i in range(n - 1)] + [(rng.randrange(5), rng.randrange(5), 2.0) for _ in range(6)] + [(n, n + 1, 1.0), (n + 1, n, 1.0), (n + 1, 0, 3.0)]
+    a = np.zeros((n + 2, n + 2))
+    for i, j, w in edges:
+        a[i, j] += w
+    a /= np.maximum(a.sum(axis=1, keepdims=True), 1e-9)
+    s = np.zeros(n + 2)
+    s[[0, n]] = 0.5, 1.0
+    want = np.linalg.solve(np.eye(n + 2) - link_trust.DAMPING * a.T, (1 - link_trust.DAMPING) * s)
+    e = spark.createDataFrame([(f"h{i}", f"h{j}", w) for i, j, w in edges], "src string, dst string, weight double")
+    e = e.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    seeds = spark.createDataFrame([(f"h{i}", float(s[i])) for i in (0, n)], "host string, seed double")
+    scratch = Scratch(spark)
+    got = {r["host"]: r["rank"] for r in link_trust.spread(scratch.save(seeds), scratch.save(link_trust.shares(e)), scratch).collect()}
+    assert got == pytest.approx({f"h{i}": want[i] for i in range(n + 2)}, rel=1e-7, abs=0)
+
+
+def test_distrust_reaches_hosts_many_links_away(spark):
+    rows = [(i, f"http://h{i}.net/", f'<a href="http://h{i + 1}.net/">x</a>') for i in range(20)] + [(20, "http://h20.net/", '<a href="http://bad.com/">x</a>'), (21, "http://bad.com/de/", "")]
+    got = {r["page_id"]: r for r in link_trust.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {r["verdict"] for r in got.values()} == {"block"}
+    assert got[0]["trust"] == 0 and got[0]["distrust"] == pytest.approx((1 - link_trust.DAMPING) * link_trust.DAMPING**21, rel=1e-7)
+
+
+def test_ranks_below_the_floor_stay_positive(spark, monkeypatch):
+    monkeypatch.setattr(link_trust, "FLOOR", 1e-2)
+    e = spark.createDataFrame([(f"h{i}", f"h{(i + 1) % 24}", 1.0) for i in range(24)], "src string, dst string, share double")
+    seeds = spark.createDataFrame([("h0", 1e-3)], "host string, seed double")
+    got = link_trust.spread(seeds, e, Scratch(spark)).collect()
+    assert len(got) == 24 and all(r["rank"] >= 1e-2 for r in got)
+
+
 # --- 3 and 8: tokens ---------------------------------------------------------------------------------------
 
 
