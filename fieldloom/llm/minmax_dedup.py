@@ -215,12 +215,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def shared_counts(sets: DataFrame) -> DataFrame:
-    """(s_id, n, both): the size of each set and how many of its shingles another set has too."""
+    """(s_id, n, both): the size of each set and how many of its shingles another set has too.
+
+    Rows of equal id may hold several sets: ``n`` is the smallest one's size and ``both`` counts for all of them, so that
+    what rules out a pair of ids rules out each of their sets.
+    """
     each = sets.select("id", F.explode("s").alias("x")).groupBy("x").agg(F.count("*").alias("c"), F.min("id").alias("id"))
     alone = each.filter("c = 1").groupBy(F.col("id").alias("a_id")).agg(F.count("*").alias("alone"))
-    sizes = sets.groupBy(F.col("id").alias("s_id")).agg(F.max(F.size("s")).cast("long").alias("n"), F.sum(F.size("s")).alias("every"))
+    sizes = sets.groupBy(F.col("id").alias("s_id")).agg(F.min(F.size("s")).cast("long").alias("n"), F.max(F.size("s")).alias("most"), F.sum(F.size("s")).alias("every"))
     out = sizes.join(alone, F.col("s_id") == F.col("a_id"), "left")
-    return out.select("s_id", "n", F.least(F.col("every") - F.coalesce("alone", F.lit(0)), F.col("n")).alias("both"))
+    return out.select("s_id", "n", F.least(F.col("every") - F.coalesce("alone", F.lit(0)), F.col("most")).alias("both"))
 
 
 def _can(both: str, n: str, other_both: str, other_n: str) -> Column:
@@ -251,7 +255,11 @@ def classes_of(df: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> t
     sets = scratch.save(map_texts(source, "id", "text", "id long, s array<long>, marks array<long>", _sets_and_marks).filter("size(s) > 0"))
     found = scratch.save(found.join(shared_counts(sets), F.col("id") == F.col("s_id")).drop("s_id").filter(F.col("both") * DENOMINATOR >= F.col("n") * NUMERATOR))
     pairs = _ordered(found.filter("prev is not null").filter(F.expr(f"pmod(key, {BANDS}) % 4 = 0")), "id", "prev")
-    links = scratch.save(confirmed(pairs, sets))
+    # An id of several sets ties their classes together: it is linked with the representatives that are not itself.
+    several = own.groupBy(F.col("id").alias("o_id")).agg(F.min(F.xxhash64("set_key")).alias("lo"), F.max(F.xxhash64("set_key")).alias("hi")).filter("lo < hi")
+    tied = own.join(several, F.col("id") == F.col("o_id"), "left_semi").select("id", F.col("set_key").alias("o_key"))
+    tied = tied.join(reps.select("set_key", F.col("id").alias("rep")), F.col("o_key") == F.col("set_key")).select("id", "rep")
+    links = scratch.save(confirmed(pairs, sets).unionByName(_ordered(tied, "id", "rep")))
     for last in (False, True):
         comp = components(links, scratch).select(F.col("id").alias("c_id"), "comp")
         placed = found.join(comp, F.col("id") == F.col("c_id"), "left").select("key", "id", "prev", "n", "both", F.coalesce("comp", "id").alias("comp"))
@@ -264,13 +272,13 @@ def classes_of(df: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> t
         else:
             size = mixed.groupBy(F.col("key").alias("k"), F.col("comp").alias("c")).agg(F.count("*").alias("members"))
             top = size.groupBy("k").agg(F.max_by("c", F.struct("members", "c")).alias("top"))
-            marks = sets.select(F.col("id").alias("k_id"), "marks")
+            marks = sets.select(F.col("id").alias("k_id"), F.size("s").cast("long").alias("own_n"), "marks")
             mixed = scratch.save(mixed.join(marks, F.col("id") == F.col("k_id")))
             minor = mixed.join(top, F.col("key") == F.col("k")).filter("comp <> top").select(
-                F.col("key").alias("m_key"), F.col("id").alias("m_id"), F.col("comp").alias("m_comp"), F.col("n").alias("m_n"), F.col("both").alias("m_both"), F.col("marks").alias("m_marks"), "top"
+                F.col("key").alias("m_key"), F.col("id").alias("m_id"), F.col("comp").alias("m_comp"), F.col("n").alias("m_n"), F.col("both").alias("m_both"), F.col("own_n").alias("m_own_n"), F.col("marks").alias("m_marks"), "top"
             )
-            most = F.col("n") - _differ("marks", "m_marks")
-            alike = most * (DENOMINATOR + NUMERATOR) >= (F.col("n") + F.col("m_n")) * NUMERATOR
+            most = F.col("own_n") - _differ("marks", "m_marks")
+            alike = most * (DENOMINATOR + NUMERATOR) >= (F.col("own_n") + F.col("m_own_n")) * NUMERATOR
             once = (F.col("comp") == F.col("top")) | (F.col("id") < F.col("m_id"))
             across = mixed.join(minor, (F.col("key") == F.col("m_key")) & (F.col("comp") != F.col("m_comp")) & _can("both", "n", "m_both", "m_n") & once & alike)
             more = _ordered(across, "id", "m_id")

@@ -327,6 +327,17 @@ def test_near_duplicates_of_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == {None, 1, 2, 3, 5, 7, 8, 9, 10}
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    a, b, c, d, e = text(40), text(1000), text(30), text(60), text(40)
+    rows = [(7, a), (7, b), (9, a + " more"), (20, c), (21, c), (21, d), (22, d + " more"), (23, b + " more"), (30, text(50)), (40, e), (40, text(1000)), (41, e + " more")]
+    want = {7: 7, 9: 7, 23: 7, 20: 20, 21: 20, 22: 20, 30: 30, 40: 40, 41: 40}
+    assert components(rows)[0] == want
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minmax_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(k, c, k == c) for k, c in want.items()}
+
+
 def test_marks_bound_the_difference():
     rng = np.random.default_rng(2)
     a = np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64))
