@@ -56,14 +56,14 @@ def _codebook(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 class Index:
     """Codebooks, cell sizes and what to visit."""
 
-    def __init__(self, sample: np.ndarray):
+    def __init__(self, sample: np.ndarray, top: int = 5):
         rng = np.random.default_rng(SEED)
         x = _unit(sample)
         self.half = x.shape[1] // 2
         k = max(1, min(CENTROIDS, len(x) // 8))
         self.books = [_codebook(x[:, : self.half], k, rng), _codebook(x[:, self.half :], k, rng)]
         self.k = k
-        self.visit = self._calibrated(x, rng)
+        self.visit = self._calibrated(x, rng, top)
         self.sizes: dict[int, int] = {}
 
     def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,8 +73,8 @@ class Index:
         a, b = self.halves(_unit(x))
         return a.argmin(axis=1) * self.k + b.argmin(axis=1)
 
-    def _calibrated(self, x: np.ndarray, rng: np.random.Generator, top: int = 5) -> float:
-        if len(x) < 50:
+    def _calibrated(self, x: np.ndarray, rng: np.random.Generator, top: int) -> float:
+        if len(x) < max(50, top + 2):
             return 1.0
         q = rng.choice(len(x), min(TRIAL_QUERIES, len(x)), replace=False)
         cell = self.cells(x)
@@ -133,7 +133,7 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
     sample = rows.filter(draw).select("v_id", "v").toPandas().sort_values("v_id")
     if not len(sample):
         sample = rows.limit(1).select("v_id", "v").toPandas()
-    index = Index(np.stack(sample["v"].to_numpy()))
+    index = Index(np.stack(sample["v"].to_numpy()), top)
     code = spark.sparkContext.broadcast(pickle.dumps(index))
 
     @F.pandas_udf("int")

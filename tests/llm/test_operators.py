@@ -389,6 +389,12 @@ def test_odd_vectors_and_ties(spark, monkeypatch):
     assert multi_index.search(df.limit(0), F.lit(True)).count() == 0 and multi_index.search(df.filter("vec_id < 1"), F.lit(True)).count() == 0
 
 
+def test_more_neighbours_need_a_larger_share():
+    rng = np.random.default_rng(6)
+    x = (rng.normal(size=(100, 1, 16)) * 3 + rng.normal(size=(100, 20, 16))).reshape(-1, 16)
+    assert multi_index.Index(x, top=100).visit > multi_index.Index(x).visit and multi_index.Index(x, top=3000).visit == 1.0
+
+
 def test_the_walk_visits_cells_by_summed_distance():
     rng = np.random.default_rng(4)
     ix = multi_index.Index(rng.normal(size=(600, 8)))
