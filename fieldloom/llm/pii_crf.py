@@ -1,7 +1,7 @@
 """Personal data by a semi-Markov conditional random field beside exact base patterns (operator 9).
 
 The field scores whole segments: a window of text is cut into atoms (runs of digits, runs of letters, single
-other characters), every segment of up to ``MAX_ATOMS`` atoms that could be an entity becomes a typed candidate
+other characters), every segment of up to ``MAX_ATOMS`` atoms or ``MAX_DIGITS`` digits that could be an entity becomes a typed candidate
 with features of the entire span, and dynamic programming over segment ends picks the best joint choice of
 boundaries and types. Weights are fitted here by gradient ascent on the conditional likelihood of generated
 sentences. Only windows that hold a digit or an ``@`` are decoded: without one no candidate exists and the best
@@ -18,7 +18,7 @@ import hashlib
 import math
 import random
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from fieldloom.llm.common import map_texts, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_ATOMS = 24
+MAX_ATOMS, MAX_DIGITS = 24, 19
 TRAIN_SENTENCES, EPOCHS, RATE, DECAY = 1500, 6, 0.3, 1e-5
 
 # --- base patterns -----------------------------------------------------------------------------------------
@@ -143,22 +143,24 @@ def features(kind: int, span: str, left: str, right: str) -> list[str]:
 def candidates(text: str, a: int, b: int) -> tuple[list[int], dict[int, list[tuple[int, int, list[str]]]]]:
     """Atom bounds of a window, and for each end its possible entities as (first atom, kind, features)."""
     cut = [a + m.start() for m in _ATOM.finditer(text[a:b])] + [b]
+    digits = [0, *accumulate(y - x if text[x] in "0123456789" else 0 for x, y in zip(cut, cut[1:]))]  # before each bound
     out: dict[int, list[tuple[int, int, list[str]]]] = {}
     for i in range(len(cut) - 1):
         c = text[cut[i]]
         if not (c.isascii() and (c in _LOCAL or c == "(")):
             continue
-        far = cut[min(i + MAX_ATOMS, len(cut) - 1)]
-        mail = _WHOLE[0].match(text, cut[i], far)
+        near = min(i + MAX_ATOMS, len(cut) - 1)
+        last = max(near, bisect_right(digits, digits[i] + MAX_DIGITS) - 1)  # numbers may be written digit by digit
+        far = cut[last]
+        mail = _WHOLE[0].match(text, cut[i], cut[near])
         stop = _WHOLE[3].match(text, cut[i], far) or _WHOLE[1].match(text, cut[i], far) or _WHOLE[2].match(text, cut[i], far)
         reach = max(mail.end() if mail else 0, stop.end() if stop else 0)
-        for j in range(i + 1, min(i + MAX_ATOMS, len(cut) - 1) + 1):
+        for j in range(i + 1, last + 1):
             if cut[j] > reach:
                 break
-            span = text[cut[i] : cut[j]]
-            if len(span) < 7 or not span[-1].isalnum():
+            if cut[j] - cut[i] < 7 or not text[cut[j] - 1].isalnum():
                 continue
-            n = sum(x in "0123456789" for x in span)
+            span, n = text[cut[i] : cut[j]], digits[j] - digits[i]
             left, right = text[cut[i] - 1 : cut[i]] if cut[i] else "", text[cut[j] : cut[j] + 1]
             for kind in range(4):
                 fits = (mail and "@" in span, n >= 4, 14 <= n <= 19, 7 <= n <= 15)[kind]

@@ -462,6 +462,13 @@ def test_the_field_parts_neighbours_that_the_patterns_run_together():
     assert pii_crf.redacted(t, w) == "x 35.1 <CARD>, call <PHONE> <CARD> now, version 3.0 of 2021"
 
 
+def test_numbers_written_digit_by_digit_are_candidates():
+    card, phone = " ".join("4111111111111111"), "+1 " + "-".join("5551234567890")
+    for t, kind, x in ((f"35 77 {card}", 2, card), (f"{card} 123 4", 2, card), (f"{phone} 4012888888881881", 3, phone)):
+        cut, cand = pii_crf.candidates(t, 0, len(t))
+        assert (cut.index(t.index(x)), kind) in [(i, k) for i, k, _ in cand[cut.index(t.index(x) + len(x))]]
+
+
 def test_decoding_is_the_best_of_all_segmentations():
     w, rng = pii_crf.trained(), random.Random(8)
     for _ in range(60):
