@@ -3,9 +3,52 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 import numpy as np
 
+#: Words of up to so many bytes are merged together, by classes of length; longer ones one by one.
+TOGETHER = (4, 8, 12, 16, 24, 32, 64)
+
+
+class PairTable:
+    """Merge ranks of pairs of ids in an open-addressing table, looked up for many pairs at once."""
+
+    def __init__(self, pairs: np.ndarray):
+        """``pairs[r]`` holds the two ids that the merge of rank r joins."""
+        self.none = len(pairs)
+        self.bits = max(4, int(4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.ranks = np.full(1 << self.bits, self.none, np.int32)
+        todo, key = np.arange(len(pairs), dtype=np.int32), pairs[:, 0].astype(np.int64) << 32 | pairs[:, 1]
+        at = self._home(key)
+        while len(todo):
+            free = self.keys[at] < 0
+            first = np.unique(at[free], return_index=True)[1]
+            won = np.flatnonzero(free)[first]
+            self.keys[at[won]], self.ranks[at[won]] = key[won], todo[won]
+            left = np.ones(len(todo), bool)
+            left[won] = False
+            todo, key, at = todo[left], key[left], (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _home(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks of the pairs; ``none`` for pairs that don't merge."""
+        key = a.astype(np.int64) << 32 | b.astype(np.int64)
+        at = self._home(key)
+        held = self.keys[at]
+        out = np.where(held == key, self.ranks[at], np.int32(self.none))
+        open_ = np.flatnonzero((held != key) & (held >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[at[open_]]
+            hit = held == key[open_]
+            out[open_[hit]] = self.ranks[at[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return out
+
 
 def byte_symbols() -> list[str]:
     """The visible character that byte-level vocabularies write for each byte (a public convention)."""
@@ -29,6 +72,11 @@ class Merger:
         self.rank = {(a, b): r for r, (a, b) in enumerate(pairs)}
         self.added: dict[str, int] = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.symbols = byte_symbols()
+        self.first = np.array([self.vocab[x] for x in self.symbols], np.int32)
+        self.last = np.array([self.vocab[x + self.suffix] for x in self.symbols], np.int32)
+        pairs = np.array([(self.vocab[a], self.vocab[b]) for a, b in self.rank], np.int64).reshape(-1, 2)
+        self.pairs = PairTable(pairs)
+        self.joined = np.array([self.vocab[a + b] for a, b in self.rank], np.int32)
 
     def tokens(self, word: bytes) -> list[str]:
         """Merge the lowest-ranked pair, leftmost first, until none is left; only the pairs beside a merge are ranked anew."""
@@ -75,6 +123,60 @@ class Merger:
     def encode(self, word: bytes) -> list[int]:
         return [self.vocab[t] for t in (self.tokens(word) if len(word) < 200 else self.long_tokens(word))]
 
+    def _together(self, sym: np.ndarray) -> np.ndarray:
+        """Merge rows of symbol ids (filled up with -1), in every row the lowest-ranked pair, leftmost first, one a round."""
+        out, none = sym.copy(), self.pairs.none
+        place = np.arange(sym.shape[1] - 1)
+        ranks = np.full((len(sym), len(place)), none, np.int32)
+        full = sym[:, 1:] >= 0
+        ranks[full] = self.pairs(sym[:, :-1][full], sym[:, 1:][full])
+        live = np.arange(len(sym))
+        while len(live):
+            row = np.arange(len(live))
+            at = ranks.argmin(axis=1)
+            best = ranks[row, at]
+            if (best == none).any():
+                go = best != none
+                out[live[~go]] = sym[~go]
+                live, sym, ranks, at, best = live[go], sym[go], ranks[go], at[go], best[go]
+                row = row[: len(live)]
+                if not len(live):
+                    break
+            sym[row, at] = new = self.joined[best]
+            later = place > at[:, None]  # what stands behind the merged pair moves up
+            sym[:, 1:-1] = np.where(later[:, :-1] | (place[:-1] == at[:, None]), sym[:, 2:], sym[:, 1:-1])
+            sym[:, -1] = -1
+            ranks[:, :-1] = np.where(place[:-1] >= at[:, None], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = none
+            b = np.flatnonzero(at > 0)
+            ranks[b, at[b] - 1] = self.pairs(sym[b, at[b] - 1], new[b])
+            a = np.flatnonzero(sym[row, at + 1] >= 0)
+            ranks[a, at[a]] = self.pairs(new[a], sym[a, at[a] + 1])
+        return out
+
+    def encode_all(self, words: Sequence[bytes]) -> list[bytes]:
+        """Ids of many words at once, each as little-endian unsigned 32-bit integers."""
+        out = [b""] * len(words)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        low = 0
+        for high in TOGETHER:
+            of = np.flatnonzero((size > low) & (size <= high))
+            low = high
+            if not len(of):
+                continue
+            data = np.frombuffer(b"".join(words[i].ljust(high, b"\0") for i in of.tolist()), np.uint8).reshape(-1, high)
+            n = size[of]
+            sym = np.where(np.arange(high) < n[:, None], self.first[data], np.int32(-1))
+            sym[np.arange(len(of)), n - 1] = self.last[data[np.arange(len(of)), n - 1]]
+            got = self._together(sym)
+            flat, at = got[got >= 0].astype("<u4").tobytes(), 0
+            for i, k in zip(of.tolist(), (4 * (got >= 0).sum(axis=1)).tolist()):
+                out[i] = flat[at : at + k]
+                at += k
+        for i in np.flatnonzero(size > TOGETHER[-1]).tolist():
+            out[i] = packed(self.encode(words[i]))
+        return out
+
     def id_to_token(self) -> list[str]:
         out = [""] * (1 + max([*self.vocab.values(), *self.added.values()]))
         for t, i in [*self.vocab.items(), *self.added.items()]:

@@ -13,6 +13,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +27,25 @@ from fieldloom.llm.transducer import Transducer, build
 
 #: The white space of Unicode's property, which the tokenizer's \s stands for.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_WHITE = regex.compile(f"[{SPACES}]+")
+_NOT_WHITE = regex.compile(f"[^{SPACES}]+")
+#: Python's own split takes these for white space too.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _LATIN = {k: "".join(regex.escape(chr(i)) for i in range(256) if unicodedata.category(chr(i))[0] == k) for k in "LN"}
 #: The same for texts within Latin-1, with the classes written out and the commonest alternative first.
 _LATIN_WORDS = re.compile(rf"[{_LATIN['L']}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN['N']}]|[^\t-\r \x85\xa0{_LATIN['L']}{_LATIN['N']}]+")
+#: Marks that commonly end a run; such runs of ASCII letters need no pattern.
+_CLOSING = (",", ".", ";", ":", "!", "?", ")", '"')
 _LETTERS_OR_DIGITS = regex.compile(r"[\p{L}\p{N}]")
 #: Words compiled into the lexicon: the most frequent ones of the corpus.
 LEXICON_WORDS = 100_000
 #: Entries a worker keeps of words it has met before it forgets them.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 #: Longer words (in scripts without spaces a whole sentence is one) are merged where they occur and not kept.
 LONG_WORD = 64
 #: Characters read after which a task sends on the words it has counted.
 COUNTED_CHARS = 100_000_000
+#: Characters after which the distinct runs met so far are split into words, if they aren't many before.
+HELD_CHARS = 20_000_000
 
 
 @functools.cache
@@ -56,37 +63,49 @@ def _strict_words() -> regex.Pattern:
     return regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{digit}|(?:[{new}]|[^{SPACES}\p{{L}}\p{{N}}])+")
 
 
-def pieces(text: str) -> list[str]:
-    text = normalised(text)
+def pieces(chunk: str) -> list[str]:
+    """The words of a normalised text or of a part of it between white space."""
+    if chunk.isascii():
+        if chunk.isalpha():
+            return [chunk]
+        if chunk[-1:] in _CLOSING and chunk[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return _LATIN_WORDS.findall(chunk)
     try:
-        text.encode("latin-1")
+        chunk.encode("latin-1")
     except UnicodeEncodeError:
-        return _strict_words().findall(text)
-    return _LATIN_WORDS.findall(text)
+        return _strict_words().findall(chunk)
+    return _LATIN_WORDS.findall(chunk)
 
 
 def normalised(text: str) -> str:
-    """NFC, runs of white space to a space, and lower case letter by letter (so without the final sigma's rule)."""
+    """NFC and lower case letter by letter (so without the final sigma's rule); white space stays, as it only parts chunks."""
     if not text.isascii() and not unicodedata.is_normalized("NFC", text):
         text = unicodedata.normalize("NFC", text)
-    if not text.isascii():
-        text = _WHITE.sub(" ", text)
     return text.lower() if "Σ" not in text else "".join(map(str.lower, text))
 
 
+def chunks(text: str) -> list[str]:
+    """The runs between white space of a text, normalised. No word reaches over white space, so each run is split on its own."""
+    text = normalised(text)
+    if any(c in text for c in _SEPARATORS):
+        return _NOT_WHITE.findall(text)
+    return text.split()
+
+
 class Words:
-    """Splits whole texts into words and special strings."""
+    """Splits whole texts into special strings and the runs between white space."""
 
     def __init__(self, special: Iterable[str]):
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
 
     def split(self, text: str) -> Iterator[tuple[str | None, list[str]]]:
-        """(special string or None, words up to it), in order."""
+        """(special string or None, runs up to it), in order."""
         at = 0
         for m in self.special.finditer(text) if self.special and "<|" in text else ():
-            yield m.group(), pieces(text[at : m.start()])
+            yield m.group(), chunks(text[at : m.start()])
             at = m.end()
-        yield None, pieces(text[at:] if at else text)
+        yield None, chunks(text[at:] if at else text)
 
 
 class Codec:
@@ -98,6 +117,7 @@ class Codec:
         self.tokens = self.merger.id_to_token()
         self.special = {s: packed([i]) for s, i in self.merger.added.items()}
         self.seen: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
         self.lexicon = None
         if blob is not None:
             data = mapped_file("lexicon", blob)
@@ -108,28 +128,47 @@ class Codec:
             at += 4 * int(self.offsets[-1])
             self.lexicon = Transducer(memoryview(data)[at : at + size])
 
-    def learn(self, words: Iterable[str]) -> list[str]:
-        """Resolve words that this worker has not met: the automaton first, exact merging for the rest. Long ones are returned, to be forgotten after use."""
-        wanted = set(words)
-        new = [w for w in wanted if w not in self.seen]
-        if len(self.seen) + len(new) > CACHE_WORDS:
+    def resolve(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words: the automaton first, exact merging for the rest."""
+        data = [w.encode() for w in words]
+        out: list[bytes] = [b""] * len(words)
+        rank = self.lexicon.lookup(data) if self.lexicon else np.full(len(words), -1)
+        for i in np.flatnonzero(rank >= 0).tolist():
+            out[i] = self.ids[self.offsets[rank[i]] : self.offsets[rank[i] + 1]].tobytes()
+        rest = np.flatnonzero(rank < 0).tolist()
+        for i, x in zip(rest, self.merger.encode_all([data[i] for i in rest])):
+            out[i] = x
+        return out
+
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of runs that this worker has not met, by their distinct words. They are kept for later, but for long ones."""
+        parts = {r: pieces(r) for r in new}
+        words = [w for w in set(chain.from_iterable(parts.values())) if w not in self.seen]
+        if len(self.seen) + len(words) > CACHE_WORDS:
             self.seen.clear()
-            new = list(wanted)
-        data = [w.encode() for w in new]
-        rank = self.lexicon.lookup(data) if self.lexicon else np.full(len(new), -1)
-        for w, b, r in zip(new, data, rank.tolist()):
-            self.seen[w] = self.ids[self.offsets[r] : self.offsets[r + 1]].tobytes() if r >= 0 else packed(self.merger.encode(b))
-        return [w for w in new if len(w) > LONG_WORD]
+            words = list(set(chain.from_iterable(parts.values())))
+        self.seen.update(zip(words, self.resolve(words)))
+        get = self.seen.__getitem__
+        out = {r: get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for r, p in parts.items()}
+        if len(self.runs) + len(out) > CACHE_WORDS:
+            self.runs.clear()
+        self.runs.update(x for x in out.items() if len(x[0]) <= LONG_WORD)
+        for w in words:
+            if len(w) > LONG_WORD:
+                del self.seen[w]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [list(self.words.split(t)) for t in texts]
-        long = self.learn(w for p in parts for _, ws in p for w in ws)
-        get = self.seen.__getitem__
-        out = [b"".join(b"".join(map(get, ws)) + (self.special[s] if s else b"") for s, ws in p) for p in parts]
-        for w in long:
-            del self.seen[w]
-        return out
+        known = [[list(map(self.runs.get, rs)) for _, rs in p] for p in parts]
+        open_ = [(rs, ids) for p, k in zip(parts, known) for (_, rs), ids in zip(p, k) if None in ids]
+        new = self.learn({r for rs, ids in open_ for r, x in zip(rs, ids) if x is None})
+        for rs, ids in open_:
+            for i, x in enumerate(ids):
+                if x is None:
+                    ids[i] = new[rs[i]]
+        return [b"".join(b"".join(ids) + (self.special[s] if s else b"") for (s, _), ids in zip(p, k)) for p, k in zip(parts, known)]
 
     def decode(self, ids: bytes) -> str:
         """The file has no decoder, so tokens are joined with spaces."""
@@ -141,17 +180,27 @@ def word_counts(df: DataFrame, text_col: str, special: Iterable[str]) -> DataFra
     special = list(special)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, found, read = Words(special), Counter(), 0
+        words, runs, found, read, held = Words(special), Counter(), Counter(), 0, 0
+
+        def settle() -> None:
+            for r, n in runs.items():  # each distinct run is split once
+                for w in pieces(r):
+                    found[w] += n
+            runs.clear()
 
         def out() -> pa.RecordBatch:
+            settle()
             short = [w for w in found if len(w) <= LONG_WORD]
             return pa.RecordBatch.from_arrays([pa.array(short, pa.string()), pa.array([found[w] for w in short], pa.int64())], names=["word", "n"])
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                for _, ws in words.split(t or ""):
-                    found.update(ws)
-                read += len(t or "")
+                for _, rs in words.split(t or ""):
+                    runs.update(rs)
+                read, held = read + len(t or ""), held + len(t or "")
+                if len(runs) > CACHE_WORDS // 2 or held > HELD_CHARS:
+                    settle()
+                    held = 0
                 if len(found) > CACHE_WORDS or read > COUNTED_CHARS:
                     yield out()
                     found.clear()
@@ -165,10 +214,10 @@ def compile_lexicon(df: DataFrame, text_col: str, path: str, size: int = LEXICON
     """About ``size`` of the most frequent words of up to ``LONG_WORD`` characters with their ids, as one block of bytes."""
     merger = Merger(path)
     words = sorted(w.encode() for w in most_frequent(word_counts(df, text_col, merger.added), size))
-    ids = [merger.encode(w) for w in words]
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+    ids = merger.encode_all(words)
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int64)
     fst = build({w: r for r, w in enumerate(words)})
-    return np.array([len(words), len(fst)], np.int64).tobytes() + offsets.tobytes() + packed([i for x in ids for i in x]) + fst
+    return np.array([len(words), len(fst)], np.int64).tobytes() + offsets.tobytes() + b"".join(ids) + fst
 
 
 def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = LEXICON_WORDS) -> DataFrame:

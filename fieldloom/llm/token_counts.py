@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm.bpe import Merger
-from fieldloom.llm.common import Shared, map_texts, slices
+from fieldloom.llm.common import Shared, map_texts, most_frequent, slices
 from fieldloom.llm.transducer import Transducer, build
 
 #: Character classes.
@@ -189,25 +189,26 @@ class Counts:
         each = np.bincount(np.asarray(owner)[part], minlength=len(texts)) if len(part) else np.zeros(len(texts), np.int64)
         return words, each, special
 
-    def learn(self, words: Iterable[str]) -> list[str]:
-        """Count the tokens of pre-tokens that this worker has not met. Long ones are returned, to be forgotten after use."""
-        wanted = set(words)
-        new = [w for w in wanted if w not in self.seen]
-        if len(self.seen) + len(new) > CACHE_WORDS:
+    def learn(self, new: set[str]) -> dict[str, int]:
+        """Tokens of pre-tokens that this worker has not met. They are kept for later, but for long ones."""
+        words = list(new)
+        data = [w.encode() for w in words]
+        found = self.lexicon.lookup(data) if self.lexicon else np.full(len(words), -1)
+        rest = np.flatnonzero(found < 0)
+        found[rest] = [len(x) // 4 for x in self.merger.encode_all([data[i] for i in rest.tolist()])]
+        out = dict(zip(words, found.tolist()))
+        if len(self.seen) + len(out) > CACHE_WORDS:
             self.seen.clear()
-            new = list(wanted)
-        data = [w.encode() for w in new]
-        found = self.lexicon.lookup(data) if self.lexicon else np.full(len(new), -1)
-        for w, b, n in zip(new, data, found.tolist()):
-            self.seen[w] = n if n >= 0 else len(self.merger.encode(b))
-        return [w for w in new if len(w) > LONG_WORD]
+        self.seen.update(x for x in out.items() if len(x[0]) <= LONG_WORD)
+        return out
 
     def count(self, texts: list[str]) -> list[int]:
         words, each, special = self.pretokens(texts)
-        long = self.learn(words)
-        total = np.concatenate([[0], np.cumsum(np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words)))])
-        for w in long:
-            del self.seen[w]
+        known = list(map(self.seen.get, words))
+        if None in known:
+            new = self.learn({w for w, n in zip(words, known) if n is None})
+            known = [new[w] if n is None else n for w, n in zip(words, known)]
+        total = np.concatenate([[0], np.cumsum(np.array(known, np.int64))])
         at = np.concatenate([[0], np.cumsum(each)])
         return (total[at[1:]] - total[at[:-1]] + special).tolist()
 
@@ -239,10 +240,9 @@ def pretoken_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
 
 
 def compile_counts(df: DataFrame, text_col: str, path: str, size: int = LEXICON_WORDS) -> bytes:
-    """The transducer of the ``size`` most frequent pre-tokens of up to ``LONG_WORD`` characters (ties by text)."""
-    merger = Merger(path)
-    top = pretoken_counts(df, text_col, path).orderBy(F.desc("n"), "word").limit(size).collect()
-    return build({w: len(merger.encode(w)) for w in (r["word"].encode() for r in top)})
+    """The transducer of about ``size`` of the most frequent pre-tokens of up to ``LONG_WORD`` characters."""
+    words = [w.encode() for w in most_frequent(pretoken_counts(df, text_col, path), size)]
+    return build({w: len(x) // 4 for w, x in zip(words, Merger(path).encode_all(words))})
 
 
 def count_documents(
