@@ -1,18 +1,21 @@
 """Secret scans with one combined deterministic automaton (operator 6).
 
-Rules are regexes over bytes. They are parsed, made into one unanchored NFA, determinised by subset construction
-and minimised; the result is an array of transitions. A text is read once, byte by byte, for all rules together.
-Whenever the automaton enters an accepting state, the rules that end there are noted. A rule's first end after
-its last span gives that span: the rule's reversed automaton finds the earliest start and its forward automaton
-the longest end, which for these rules is the leftmost greedy match.
+Rules are regexes over bytes. They are parsed, reversed, made into one unanchored NFA, determinised by subset
+construction and minimised; the result is an array of transitions. A text is read once, byte by byte from its end,
+for all rules together: whenever the automaton enters an accepting state, some match of the accepted rules starts there.
+A rule's first start behind its last span gives the next one, which its forward automaton follows to the longest
+end; for these rules that is the leftmost greedy match. States from which a walk found no further end are remembered
+with their positions, so that no walk repeats another's and the whole scan takes time in proportion to the text.
+Reading from the end keeps the automaton small (hundreds of states instead of thousands), because the rules differ more
+in how they begin than in how they end.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import operator
 import pickle
-from bisect import bisect_right
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from itertools import accumulate
@@ -278,14 +281,16 @@ def compile_dfa(nodes: list, unanchored: bool) -> Dfa:
 
 @dataclass
 class Compiled:
+    """One automaton over reversed texts for all rules together, and an anchored forward one for each."""
+
     combined: Dfa
     forward: list[Dfa]
-    backward: list[Dfa]
 
 
+@functools.cache
 def compile_rules(rules: tuple[Rule, ...] = RULES) -> Compiled:
     trees = [_Parser(r.pattern, r.fold).whole() for r in rules]
-    return Compiled(compile_dfa(trees, True), [compile_dfa([t], False) for t in trees], [compile_dfa([_reversed(t)], False) for t in trees])
+    return Compiled(compile_dfa([_reversed(t) for t in trees], True), [compile_dfa([t], False) for t in trees])
 
 
 # --- scanning ----------------------------------------------------------------------------------------------
@@ -295,7 +300,8 @@ class Scanner:
     """Scans whole texts; made once per Python worker from the compiled arrays."""
 
     def __init__(self, compiled: Compiled, rules: tuple[Rule, ...] = RULES):
-        self.rules, self.c = rules, compiled
+        self.rules = rules
+        self.forward = [(d.step.tolist(), d.accepts.astype(bool).tolist(), d.start, d.dead) for d in compiled.forward]
         d = compiled.combined
         # A state is the list of its successors; an accepting one is longer by its rules' bits, so that its length tells them.
         states: list[list] = [[] for _ in range(len(d.step))]
@@ -304,40 +310,40 @@ class Scanner:
             row.extend([row] * int(d.accepts[q]))
         self.first = states[d.start]
 
-    def ends(self, data: bytes) -> list[np.ndarray]:
-        """For each rule, the positions at which some match of it ends: the one pass over the bytes."""
-        sizes = np.fromiter(map(len, accumulate(data, operator.getitem, initial=self.first)), np.int16, len(data) + 1)
-        hits = np.flatnonzero(sizes > 256)
+    def starts(self, data: bytes) -> list[np.ndarray]:
+        """For each rule, the positions at which some match of it starts, in order: the one pass over the bytes."""
+        sizes = np.fromiter(map(len, accumulate(data[::-1], operator.getitem, initial=self.first)), np.int16, len(data) + 1)
+        hits = np.flatnonzero(sizes > 256)[::-1]
         bits = sizes[hits] - 256
-        return [hits[(bits >> k & 1).astype(bool)] if len(hits) else hits for k in range(len(self.rules))]
-
-    @staticmethod
-    def _furthest(d: Dfa, data: bytes, at: int, stop: int, by: int) -> int:
-        q, best, step, accepts = d.start, -1, d.step, d.accepts
-        while at != stop:
-            q = step[q, data[at] if by > 0 else data[at - 1]]
-            if q == d.dead:
-                break
-            at += by
+        return [len(data) - hits[(bits >> k & 1).astype(bool)] if len(hits) else hits for k in range(len(self.rules))]
+
+    def _longest(self, k: int, data: bytes, at: int, barren: set[tuple[int, int]]) -> int:
+        """The end of rule ``k``'s longest match from ``at``. ``barren`` holds (position, state) from which no end follows."""
+        step, accepts, q, dead = self.forward[k]
+        best, since = at, []
+        for at in range(at, len(data)):
+            q = step[q][data[at]]
             if accepts[q]:
-                best = at
+                best = at + 1
+                since.clear()
+                continue
+            if q == dead or (at, q) in barren:
+                break
+            since.append((at, q))
+        barren.update(since)
         return best
 
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, rule, end) in bytes: leftmost, non-overlapping per rule, those kept by the rule's test."""
         out = []
-        for k, ends in enumerate(self.ends(data)):
-            found, cursor, i = ends.tolist(), 0, 0
-            while i < len(found):
-                start = self._furthest(self.c.backward[k], data, found[i], cursor, -1)
-                if start < 0:
-                    i += 1
-                    continue
-                end = self._furthest(self.c.forward[k], data, start, len(data), 1)
+        for k, starts in enumerate(self.starts(data)):
+            i, barren = 0, set()
+            while i < len(starts):
+                start = int(starts[i])
+                end = self._longest(k, data, start, barren)
                 if self.rules[k].keep(data[start:end]):
                     out.append((start, k, end))
-                cursor = end
-                i = bisect_right(found, end)
+                i = int(np.searchsorted(starts, max(end, start + 1)))
         return sorted(out)
 
     def scan(self, text: str) -> list[tuple[int, int, int]]:
@@ -359,7 +365,12 @@ def joined(spans: list[tuple[int, int, int]], rules: tuple[Rule, ...] = RULES) -
 
 
 def scan_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_assign, n_access, n_hex, base_sha256, spans) of every whole text; null texts count as empty, repeated rows stay."""
+    """(id, n_assign, n_access, n_hex, base_sha256, spans) of every whole text.
+
+    Null and empty texts have no spans, repeated rows and rows without an id stay, an empty table gives an empty one, and
+    of the other columns, whatever their names, none is read. A very long text takes time in proportion to its length
+    and the memory of one state a byte. Matches of different kinds may overlap; equal starts stand in the rules' order.
+    """
     blob = Shared(df.sparkSession, pickle.dumps(compile_rules()))
 
     def kernel(texts: list[str]) -> list[list]:

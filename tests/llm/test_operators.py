@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from fieldloom.llm import fuzzy_hash, language_id, lexicon_bpe, link_trust, minmax_dedup, mixing, multi_index, pii_crf, queries, secret_scan, token_counts
+from fieldloom.llm import bpe, fuzzy_hash, language_id, lexicon_bpe, link_trust, minmax_dedup, mixing, multi_index, pii_crf, queries, secret_scan, token_counts
 from fieldloom.llm.common import Scratch
 from fieldloom.llm.transducer import Transducer, build
 
@@ -222,6 +223,13 @@ def test_counts_equal_the_library(docs, odd, none):
     assert token_counts.count_documents(none, BYTE).count() == 0
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_words_merged_together_equal_words_merged_alone(path):
+    rng, m = random.Random(5), bpe.Merger(path)
+    words = [bytes(rng.choice(pool) for _ in range(rng.randrange(70))) for pool in (b"aeioutnsaab", range(256), b" .,'-_0129") for _ in range(2000)]
+    assert m.encode_all(words) == [bpe.packed(m.encode(w)) for w in words] and m.encode_all([]) == []
+
+
 def test_long_words_are_counted_and_not_kept(spark):
     xs = ["中" * 300 + " plain " + "x" * 5000, "中" * 65, "y" * 64]
     for one, t, run in ((lexicon_bpe.Codec(WORD), library(WORD), "encode"), (token_counts.Counts(BYTE), library(BYTE), "count")):
@@ -433,6 +441,28 @@ def test_secrets(docs, odd, none):
     assert secret_scan.scan_documents(none).count() == 0
 
 
+def test_every_rule_matches_like_re():
+    rng = random.Random(16)
+    bits = ["-----BEGIN ", "RSA ", "EC ", "PRIVATE KEY-----", "ghp_", "gho_", "a1B2c3D4" * 4, "xoxb-1", "xoxp-", "AIza", "eyJ", ".", "a_b-c", "AKIA", "Z9" * 9, "0f" * 8, "secret", "=", " ", "\n", "é"]
+    rules = (*secret_scan.RULES, secret_scan.Rule("tail", "x(.*y)?".replace(".", "[^\n]")), secret_scan.Rule("short", "ab|abcab|c"))
+    scanner = secret_scan.Scanner(secret_scan.compile_rules(rules), rules)
+    plain = [re.compile(r.pattern.replace("ab|abcab|c", "abcab|ab|c").encode(), re.I * r.fold) for r in rules]
+    for _ in range(4000):
+        data = "".join(rng.choice([*bits, "x", "y", "abc", "ab"]) for _ in range(rng.randint(1, 25))).encode()
+        want = [(m.start(), k, m.end()) for k, p in enumerate(plain) for m in p.finditer(data) if rules[k].keep(m.group())]
+        assert scanner.spans(data) == sorted(want)
+
+
+@pytest.mark.parametrize("text", ["eyJa.eyJb.eyJc." + "d" * 1_000_000, "0f" * 500_000, "x" * 300_000, "eyJa." * 200_000, "AKIA" * 250_000, "password=" * 100_000, "-----BEGIN A " * 80_000])
+def test_crafted_long_texts_take_linear_time(text):
+    rules = (*secret_scan.RULES, secret_scan.Rule("tail", "x([^\n]*y)?"))
+    began = time.process_time()
+    got = secret_scan.Scanner(secret_scan.compile_rules(rules), rules).spans(text.encode())
+    assert time.process_time() - began < 30
+    plain = [(m.start(), k, m.end()) for k, r in enumerate(rules[:-1]) for m in re.finditer(r.pattern.encode(), text.encode(), re.I * r.fold) if r.keep(m.group())] if not text.startswith("----") else []
+    assert [s for s in got if s[1] < len(rules) - 1] == sorted(plain)
+
+
 def personal(t):
     d = lambda s: re.sub("[^0-9]", "", s)
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
