@@ -2,29 +2,32 @@
 
 Unit vectors are cut into two halves, each quantised by its own codebook, so that every vector falls into one of
 K * K cells. A query walks the pairs of centroids by rising summed distance (a heap that opens the next pair in
-either direction) until the cells seen hold ``visit`` of all vectors; their entries are reranked exactly.
+either direction) until the cells seen hold ``visit`` of all vectors, and at least as many as it takes to find ``top``
+of other ids; their entries are reranked exactly.
 
 The codebooks are fitted on about ``SAMPLE_ROWS`` vectors drawn by a hash. On the same sample ``visit`` is set: the
 least share with which sample queries find ``AIM`` of their true neighbours, plus a reserve. On data
 without structure that is a large part of the table, on clustered data a small one; nothing else depends on it.
-All rows are indexed. Cells are dealt to blocks of about ``BLOCK_ROWS`` rows, with large cells split over several,
-and each block meets the queries in groups of ``GROUP_QUERIES``.
+All rows are indexed. Cells are dealt to blocks of about ``BLOCK_ROWS`` rows, with large cells split over several.
+Every entry is shuffled once, to its block; the queries' probes follow it there and stream past the block's entries, so a
+task holds one block and one batch of probes however many there are.
 """
 
 from __future__ import annotations
 
 import heapq
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS, CENTROIDS, ROUNDS = 10_000, 64, 12
 AIM, RESERVE, TRIAL_QUERIES = 0.95, 0.03, 300
-BLOCK_ROWS, GROUP_QUERIES = 4096, 4096
+BLOCK_ROWS, AT_ONCE = 4096, 128
 SEED = 5
 
 
@@ -108,16 +111,24 @@ class Index:
         return found
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near one: exact, and squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=-1, keepdims=True))[1])
+
+
 def _exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Cosines of one query with rows, each worked out alike wherever the row stands, so that equal vectors tie."""
+    q, v = _scaled(q), _scaled(v)
     return (v * q).sum(axis=1) / (np.sqrt((v * v).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 
 def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 5) -> DataFrame:
-    """(query_id, rank, id, score): for each query row the ``top`` nearest other rows found, ties to the smaller id.
+    """(query_id, rank, id, score): for each query row the ``top`` nearest other rows found (all, if fewer), ties to the smaller id.
 
-    Vectors that are null, zero, not finite, or of another length than most take no part. Rows of equal id are
-    entries of their own, but a query never finds its own id.
+    Vectors that are null, zero, not finite, or of another length than most take no part, nor do rows without an id. Rows of equal
+    id are entries of their own, but a query never finds its own id; of several query rows of one id
+    the smallest vector asks. An empty table, or one without a usable vector, gives no rows. Of the other columns, whatever their
+    names, none is read.
     """
     spark = df.sparkSession
     schema = f"query_id long, rank int, {id_col} long, score double"
@@ -153,46 +164,75 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
         else:
             filled += n
     full = spark.sparkContext.broadcast(pickle.dumps((index, blocks, parts)))
-    n_queries = rows.filter("is_query").count()
-    groups = max(1, -(-n_queries // GROUP_QUERIES))
     place = spark.createDataFrame([(c, blocks[c], parts[c]) for c in blocks], "p_cell int, p_block int, p_parts int")
     entries = placed.join(F.broadcast(place), F.col("cell") == F.col("p_cell"))  # at most K * K rows
-    entries = entries.select((F.col("p_block") + F.pmod(F.xxhash64("v_id"), F.col("p_parts"))).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), "v_id", "cell", "v")
-    asked = rows.filter("is_query").select(F.pmod(F.xxhash64(F.lit(SEED), "v_id"), F.lit(groups)).cast("int").alias("grp"), F.col("v_id").alias("q_id"), F.col("v").alias("q"))
+    block = (F.col("p_block") + F.pmod(F.xxhash64("v_id"), F.col("p_parts"))).cast("int").alias("block")
+    entries = entries.select(block, F.lit(False).alias("probe"), "v_id", "v", F.array("cell").alias("cells"))
+    same = rows.groupBy(F.col("v_id").alias("s_id")).agg(F.count("*").alias("own")).filter("own > 1")
+    asked = rows.filter("is_query").groupBy("v_id").agg(F.min("v").alias("v")).join(same, F.col("v_id") == F.col("s_id"), "left")
+    asked = asked.select("v_id", "v", F.coalesce("own", F.lit(1)).alias("own"))
 
     def probes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ix, block_of, split = pickle.loads(full.value)
         for f in frames:
             out = []
             if len(f):
-                a, b = ix.halves(_unit(np.stack(f["q"].to_numpy())))
-                for r, (g, i, q) in enumerate(zip(f["grp"], f["q_id"], f["q"])):
+                a, b = ix.halves(_unit(np.stack(f["v"].to_numpy())))
+                for r, (i, q, own) in enumerate(zip(f["v_id"], f["v"], f["own"])):
                     by_block: dict[int, list[int]] = {}
-                    for c in ix.walk(a[r], b[r], ix.visit * total):
+                    for c in ix.walk(a[r], b[r], max(ix.visit * total, top + own)):
                         for p in range(split[c]):
                             by_block.setdefault(block_of[c] + p, []).append(c)
-                    out += [(blk, g, i, q, cs) for blk, cs in by_block.items()]
-            yield pd.DataFrame(out, columns=["block", "grp", "q_id", "q", "cells"])
-
-    asked = asked.mapInPandas(probes, "block int, grp int, q_id long, q array<double>, cells array<int>")
-
-    def rerank(key: tuple, own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(own) and len(ask):
-            own = own.sort_values(["v_id"], kind="stable")
-            v, ids, cell = np.stack(own["v"].to_numpy()), own["v_id"].to_numpy(), own["cell"].to_numpy()
-            unit = _unit(v)
-            for i, q, cells in zip(ask["q_id"], ask["q"], ask["cells"]):
-                near = np.where(np.isin(cell, cells) & (ids != i), unit @ _unit(q[None])[0], -np.inf)
-                n = min(top, int((near > -np.inf).sum()))
-                if not n:
+                    out += [(blk, True, i, q, cs) for blk, cs in by_block.items()]
+                    if len(out) > BLOCK_ROWS:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+            yield pd.DataFrame(out, columns=names)
+
+    names = ["block", "probe", "v_id", "v", "cells"]
+    asked = asked.mapInPandas(probes, "block int, probe boolean, v_id long, v array<double>, cells array<int>")
+    n_cells = index.k * index.k
+
+    def rerank(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, ready = None, [], None
+        for b in batches:
+            blocks_, probe, ids = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            v = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1)
+            cells, bound = b.column(4).flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(b.column(4).value_lengths().to_numpy())])
+            edge = np.flatnonzero((blocks_[1:] != blocks_[:-1]) | (probe[1:] != probe[:-1])) + 1
+            for i, j in zip([0, *edge], [*edge, len(b)]):
+                if i == j:
                     continue
-                close = np.flatnonzero(near >= np.partition(near, -n)[-n] - 1e-9)
-                s = _exact(q, v[close])
-                for j in np.lexsort((ids[close], -s))[:n]:
-                    out.append((i, ids[close[j]], s[j]))
-        return pd.DataFrame(out, columns=["query_id", "v_id", "score"])
-
-    found = entries.groupBy("block", "grp").cogroup(asked.groupBy("block", "grp")).applyInPandas(rerank, "query_id long, v_id long, score double")
+                if blocks_[i] != at:
+                    at, held, ready = blocks_[i], [], None
+                if not probe[i]:
+                    held.append((ids[i:j], v[i:j], cells[bound[i] : bound[j]]))
+                    continue
+                if not held:
+                    continue
+                if ready is None:
+                    own, x, of = (np.concatenate(c) for c in zip(*held))
+                    order = np.argsort(own, kind="stable")
+                    ready = own[order], x[order], of[order], _unit(x[order])
+                own, x, of, unit = ready
+                out: list[tuple] = []
+                for lo in range(i, j, AT_ONCE):
+                    hi = min(j, lo + AT_ONCE)
+                    near = _unit(v[lo:hi]) @ unit.T
+                    for r in range(lo, hi):
+                        open_ = np.zeros(n_cells, bool)
+                        open_[cells[bound[r] : bound[r + 1]]] = True
+                        row = np.where(open_[of] & (own != ids[r]), near[r - lo], -np.inf)
+                        n = min(top, int((row > -np.inf).sum()))
+                        if not n:
+                            continue
+                        close = np.flatnonzero(row >= np.partition(row, -n)[-n] - 1e-9)
+                        s = _exact(v[r], x[close])
+                        out += [(ids[r], own[close[k]], s[k]) for k in np.lexsort((own[close], -s))[:n]]
+                cols = list(zip(*out)) or [(), (), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["query_id", "v_id", "score"])
+
+    met = entries.unionByName(asked).repartition("block").sortWithinPartitions("block", "probe")
+    found = met.mapInArrow(rerank, "query_id long, v_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "v_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", F.col("v_id").alias(id_col), "score")

@@ -397,6 +397,31 @@ def test_odd_vectors_and_ties(spark, monkeypatch):
     assert multi_index.search(df.limit(0), F.lit(True)).count() == 0 and multi_index.search(df.filter("vec_id < 1"), F.lit(True)).count() == 0
 
 
+def test_lone_groups_find_neighbours_elsewhere(spark):
+    """97 rows in one tight group and 3 in another: those three have five neighbours as well. Rows of one id don't count for themselves."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(97, 8)) * 1e-3 + np.eye(8)[0], rng.normal(size=(3, 8)) * 1e-3 + np.eye(8)[1]])
+    rows = [(i + 1, x[i].tolist()) for i in range(100)] + [(100, x[99].tolist())] * 20
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = multi_index.search(df, F.col("vec_id") % 50 == 0).toPandas()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    for q in (50, 100):
+        r = got[got["query_id"] == q].sort_values("rank")
+        assert len(r) == 5 and not (r["vec_id"] == q).any()
+        if q == 100:
+            assert r["vec_id"].to_list() == exact(ids[:100], x[:100], 99)[0]
+    few = multi_index.search(df.filter("vec_id in (1, 50, 51)"), F.col("vec_id") % 50 == 0).toPandas()
+    assert few.sort_values("rank")["vec_id"].isin([1, 51]).all() and len(few) == 2
+
+
+def test_cosines_of_huge_and_tiny_vectors(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1e200, 2.1e200]), (2, [-1.0, 0.0]), (3, [1e-200, 2e-200]), (4, [5e-324, 1e-323]), (5, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["rank"]: (r["vec_id"], r["score"]) for r in multi_index.search(df, F.col("vec_id") == 0).collect()}
+    assert [got[k][0] for k in range(1, 6)] == [3, 4, 1, 5, 2]
+    assert [got[k][1] for k in range(1, 6)] == pytest.approx([1, 1, 5.2 / math.sqrt(5 * 5.41), 1 / math.sqrt(5), -1 / math.sqrt(5)])
+
+
 def test_more_neighbours_need_a_larger_share():
     rng = np.random.default_rng(6)
     x = (rng.normal(size=(100, 1, 16)) * 3 + rng.normal(size=(100, 20, 16))).reshape(-1, 16)
