@@ -11,6 +11,7 @@ the shorter one, if that is less) count as unlike. Texts without bytes are alike
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,8 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldloom.llm.common import small_batches
+
 WINDOW, LONGEST, SPARSE, LEVELS, RUN = 7, 64, 16, 3, 5
 PIECE = 1 << 20
+#: Stands for a null id among the bounds of buckets: below all ids.
+NULL_KEY = -1e300
 #: Characters of signatures, in the order of base 64.
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
@@ -128,32 +133,43 @@ def likeness(pairs: list[tuple[str, str]]) -> list[float]:
     return out
 
 
-def chained(df: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+def chained(df: DataFrame, id_col: str, text_col: str, buckets: int) -> tuple[DataFrame, int]:
     """(c_bucket, c_guest, c_id, c_tie, c_text) such that, sorted by all but the text, each bucket's rows are a run of
     the id order, followed by a guest: the first row after the run (after the last run: the very first row).
 
-    The bounds come from quantiles of the ids, a number per bucket; the heads are one row per bucket.
+    The bounds come from quantiles of the ids, a number per bucket; the heads are one row per bucket. An id that several
+    quantiles fall on has as many buckets, by ranges of the hash that orders its rows. The second result is the number of buckets.
     """
     from pyspark.ml.feature import Bucketizer
 
     rows = df.select(F.col(id_col).cast("long").alias("c_id"), F.coalesce(F.col(text_col), F.lit("")).alias("c_text"))
-    key = F.coalesce(F.col("c_id"), F.lit(-(1 << 63))).cast("double")  # null ids come first
-    cuts = sorted(set(rows.select(key.alias("k")).approxQuantile("k", [i / buckets for i in range(1, buckets)], 0.1 / buckets))) if buckets > 1 else []
-    bounds = [-float("inf"), *cuts, float("inf")]
+    key = F.coalesce(F.col("c_id").cast("double"), F.lit(NULL_KEY))  # null ids come first
+    found = Counter(rows.select(key.alias("k")).approxQuantile("k", [i / buckets for i in range(1, buckets)], 0.1 / buckets)) if buckets > 1 else Counter()
     rows = rows.withColumn("c_tie", F.xxhash64("c_text")).withColumn("c_key", key)
-    rows = Bucketizer(splits=bounds, inputCol="c_key", outputCol="c_at").transform(rows) if cuts else rows.withColumn("c_at", F.lit(0.0))
-    rows = rows.withColumn("c_at", F.col("c_at").cast("int"))
+    hot = {c: n for c, n in found.items() if n > 1 and (abs(c) < 2**53 or c == NULL_KEY)}  # keys that stand for one id each
+    cuts = sorted({*found, *(float(np.nextafter(c, np.inf)) for c in hot)})
+    if cuts:
+        rows = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="c_key", outputCol="c_at").transform(rows)
+        split = [1, *(hot.get(c, 1) for c in cuts)]
+        first = np.concatenate([[0], np.cumsum(split)])[:-1].tolist()
+        at = (F.col("c_at") + 1).cast("int")
+        part = F.floor((F.col("c_tie") / F.lit(2.0**64) + 0.5) * F.element_at(F.array(*map(F.lit, split)), at))
+        part = F.least(part, F.element_at(F.array(*map(F.lit, split)), at) - 1)
+        rows = rows.withColumn("c_at", (F.element_at(F.array(*map(F.lit, first)), at) + part).cast("int"))
+    else:
+        split = [1]
+        rows = rows.withColumn("c_at", F.lit(0))
     order = F.struct(F.col("c_key"), F.col("c_id"), F.col("c_tie"))
     heads = sorted((r["c_at"], r["h"]) for r in rows.groupBy("c_at").agg(F.min(order).alias("h")).collect())
     if not heads:
-        return rows.select("c_at", F.lit(0).alias("c_guest"), "c_id", "c_tie", "c_text")
+        return rows.select("c_at", F.lit(0).alias("c_guest"), "c_id", "c_tie", "c_text"), 1
     names = "h_id long, h_tie long, h_to int"
     guests = [(h["c_id"], h["c_tie"], heads[i - 1][0]) for i, (_, h) in enumerate(heads)]
     guests = F.broadcast(df.sparkSession.createDataFrame(guests, names))  # one row per bucket
     rows = rows.join(guests, F.col("c_id").eqNullSafe(F.col("h_id")) & (F.col("c_tie") == F.col("h_tie")), "left")
     places = F.array(F.struct(F.col("c_at").alias("at"), F.lit(0).alias("guest")), F.struct(F.col("h_to").alias("at"), F.lit(1).alias("guest")))
     rows = rows.withColumn("c_place", F.explode(F.when(F.col("h_to").isNull(), F.slice(places, 1, 1)).otherwise(places)))
-    return rows.select(F.col("c_place.at").alias("c_at"), F.col("c_place.guest").alias("c_guest"), "c_id", "c_tie", "c_text")
+    return rows.select(F.col("c_place.at").alias("c_at"), F.col("c_place.guest").alias("c_guest"), "c_id", "c_tie", "c_text"), sum(split)
 
 
 def edited(text: str, follower: str) -> str:
@@ -166,9 +182,12 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every whole text.
 
     The next document is the one that follows in the order of ids, nulls first; rows of equal id follow each other
-    in the order of a hash of their text. Null texts are empty. A lone document follows itself.
+    in the order of a hash of their text; repeated rows stay. Null texts are empty. A lone document follows itself, and an
+    empty table gives no rows. A very long text is hashed whole, in pieces. Of the other columns, whatever their names, none
+    is read.
     """
     spark = df.sparkSession
+    small_batches(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
     names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
@@ -196,7 +215,7 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield batch()
                 out = []
 
-    rows = chained(df, id_col, text_col, buckets)
-    rows = rows.repartition(buckets, "c_at").sortWithinPartitions("c_at", "c_guest", F.col("c_id").asc_nulls_first(), "c_tie")
+    rows, parts = chained(df, id_col, text_col, buckets)
+    rows = rows.repartitionById(parts, F.col("c_at")).sortWithinPartitions("c_at", "c_guest", F.col("c_id").asc_nulls_first(), "c_tie")
     schema = f"{id_col} long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return rows.select("c_at", "c_guest", "c_id", "c_text").mapInArrow(run, schema)
