@@ -2,7 +2,9 @@
 
 Rules decide the pages they fit. Hosts with allowed pages are trusted seeds and hosts with blocked pages are
 distrusted ones, each by the share of such pages. Trust flows along the links between hosts as a personalised
-PageRank, distrust flows against them. A page that no rule fits takes its host's verdict: block if the host's
+PageRank, distrust flows against them. Both are distributions: they sum to one over all hosts, however many seeds there
+are, and what reaches a host without further links returns to the seeds (which, as ranks are linear, is the same as
+dividing by the sum in the end). A page that no rule fits takes its host's verdict: block if the host's
 distrust exceeds its trust by more than ``MARGIN``.
 
 Ranks are iterated until ``SAVE_EVERY`` rounds reach no new host and change no host's rank by more than ``TOLERANCE`` of
@@ -68,7 +70,12 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
 
 
 def spread(seeds: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(host, rank): personalised PageRank of (host, seed) rows along (src, dst, share) rows, to within ``TOLERANCE``."""
+    """(host, rank): personalised PageRank of (host, seed) rows along (src, dst, share) rows, to within ``TOLERANCE``.
+
+    Ranks sum to one. Without edges, or without seeds, what the seeds hold stays with them.
+    """
+    if edges.isEmpty():
+        return _normalised(seeds.select("host", F.col("seed").alias("rank")))
     rank = last = seeds.select("host", F.col("seed").alias("rank"))
     home = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("part"))
     while True:
@@ -81,17 +88,22 @@ def spread(seeds: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
         still = moved.isEmpty()
         scratch.drop(last)
         if still:
-            return rank
+            return _normalised(rank)
         last = rank
 
 
+def _normalised(rank: DataFrame) -> DataFrame:
+    total = rank.agg(F.sum("rank")).first()[0]
+    return rank.withColumn("rank", F.col("rank") / F.lit(total or 1.0))
+
+
 def shares(edges: DataFrame) -> DataFrame:
     out = edges.groupBy(F.col("src").alias("o_src")).agg(F.sum("weight").alias("total"))
     return edges.join(out, F.col("src") == F.col("o_src")).select("src", "dst", (F.col("weight") / F.col("total")).alias("share"))
 
 
 def host_scores(pages: DataFrame, scratch: Scratch, host: str = "host", html: str = "html", verdict: str = "rule_verdict") -> DataFrame:
-    """(host, trust, distrust) of every host with a rule's verdict or a link; a table without links spreads nothing."""
+    """(host, trust, distrust) of every host that a seed reaches; a table without links spreads nothing."""
     seeds = pages.filter(F.col(host) != "").groupBy(F.col(host).alias("host")).agg(
         F.avg(F.when(F.col(verdict) == "allow", 1.0).otherwise(0.0)).alias("good"),
         F.avg(F.when(F.col(verdict) == "block", 1.0).otherwise(0.0)).alias("bad"),
@@ -100,17 +112,24 @@ def host_scores(pages: DataFrame, scratch: Scratch, host: str = "host", html: st
     edges = scratch.save(host_edges(pages, host, html))
     good = seeds.select("host", F.col("good").alias("seed")).filter("seed > 0")
     bad = seeds.select("host", F.col("bad").alias("seed")).filter("seed > 0")
-    if edges.isEmpty():
-        trust, distrust = (x.select("host", F.col("seed").alias("rank")) for x in (good, bad))
-    else:
-        back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-        trust, distrust = spread(good, scratch.save(shares(edges)), scratch), spread(bad, scratch.save(shares(back)), scratch)
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    along, against = scratch.save(shares(edges)), scratch.save(shares(back))
+    trust, distrust = spread(good, along, scratch), spread(bad, against, scratch)
     both = trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust")).unionByName(distrust.select("host", F.lit(0.0).alias("trust"), F.col("rank").alias("distrust")))
-    return scratch.save(both.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
+    out = scratch.save(both.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
+    scratch.drop(seeds, edges, along, against, trust, distrust)
+    return out
 
 
 def judge(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
-    """(id, host, path, rule, verdict, trust, distrust) of every page; a null url has empty host and path and is allowed."""
+    """(id, host, path, rule, verdict, trust, distrust) of every page.
+
+    A null url, or one without ``://``, has an empty host and path, seeds nothing and is allowed; a null html has no links.
+    Repeated rows stay, and each counts in its host's shares and links. Equal trust and distrust, none included, allow. An
+    empty table gives no rows. Urls and html of any length are read whole; only the three named columns are read, so others may
+    have any names. A host with very many links is split by Spark's handling of skewed joins, and its links are summed up
+    before they are shuffled.
+    """
     scratch = Scratch(df.sparkSession)
     pages = df.select(F.col(id_col).alias("p_id"), F.col(url_col).alias("p_url"), F.col(html_col).alias("html"))
     pages = pages.withColumn("host", host_of(F.col("p_url"))).withColumn("path", path_of(F.col("p_url"))).drop("p_url")
