@@ -27,8 +27,8 @@ DIM = 4096
 PER_LANGUAGE, SAMPLE_ROWS = 300, 3000
 LONG_CODE = 31
 STEPS, RATE, RIDGE = 100, 4.0, 1e-4
-#: A text whose best language's share of the decoding weight is below this is ambiguous.
-SURE = 0.35
+#: A text whose best language leads the second by less than this share of the decoding weight is ambiguous.
+LEAD = 0.05
 
 
 def held_out(id_col: Column) -> Column:
@@ -95,19 +95,24 @@ class Model:
         self.bit = np.maximum(right - 0.5, 1e-3)
         self.bit /= self.bit.sum()
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[bool]]:
-        """The language, its share of the decoding weight, and whether the text is ambiguous."""
+    def margins(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What each bit's classifier says of each text, and whether the text has a letter."""
         x, has = vectors(texts)
-        f = np.clip(x @ self.w + self.b, -8, 8)
+        return np.clip(x @ self.w + self.b, -8, 8), has
+
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[bool]]:
+        """The language (of equally near ones the first), its share of the decoding weight, and whether the text is ambiguous."""
+        f, has = self.margins(texts)
         loss = np.stack([(np.logaddexp(0, -self.code[k] * f) * self.bit).sum(axis=1) for k in range(len(self.langs))], axis=1)
         p = np.exp(-4 * (loss - loss.min(axis=1, keepdims=True)))
         p /= p.sum(axis=1, keepdims=True)
         best = p.argmax(axis=1)
         top = p.max(axis=1)
+        lead = top - (np.partition(p, -2, axis=1)[:, -2] if p.shape[1] > 1 else 0.0)
         return (
             [self.langs[k] if h else "und" for k, h in zip(best.tolist(), has.tolist())],
             [float(s) if h else 0.0 for s, h in zip(top.tolist(), has.tolist())],
-            [not h or s < SURE for s, h in zip(top.tolist(), has.tolist())],
+            [not h or d < LEAD for d, h in zip(lead.tolist(), has.tolist())],
         )
 
 
@@ -152,7 +157,12 @@ def predictor(df: DataFrame, model: Model | None):
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, held_out, lang_pred, score, ambiguous) of every whole text. Null ids are not held out; repeated rows stay."""
+    """(id, held_out, lang_pred, score, ambiguous) of every whole text.
+
+    Null ids are not held out; repeated rows stay. Null texts and those without a letter are ``und``, score 0 and are
+    ambiguous, as is every text of a table without a labelled one; an empty table gives no rows. A very long text is
+    read whole. Of the other columns, whatever their names, none is read.
+    """
     kernel = predictor(df, fit(df, id_col, text_col, lang_col))
     out = map_texts(df, id_col, text_col, f"{id_col} long, lang_pred string, score double, ambiguous boolean", kernel)
     return out.select(id_col, held_out(F.col(id_col)).alias("held_out"), "lang_pred", "score", "ambiguous")
