@@ -25,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a local session gets one of its own; a cluster must name it."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='fieldloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -49,11 +51,18 @@ class Scratch:
         return out
 
     def drop(self, *dfs: DataFrame) -> None:
+        self._delete(path for df in dfs if (path := getattr(df, "_scratch_path", None)))
+
+    def keep_only(self, *dfs: DataFrame, since: int = 0) -> None:
+        """Remove all tables saved from number ``since`` on but the given ones."""
+        kept = {df._scratch_path for df in dfs}
+        self._delete(path for k in range(since, self.n) if (path := f"{self.base}/{k}") not in kept)
+
+    def _delete(self, paths: Iterable[str]) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for df in dfs:
-            if path := getattr(df, "_scratch_path", None):
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+        for path in paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -28,7 +28,7 @@ PER_LANGUAGE, SAMPLE_ROWS = 300, 3000
 LONG_CODE = 31
 STEPS, RATE, RIDGE = 100, 4.0, 1e-4
 #: A text whose best language leads the second by less than this share of the decoding weight is ambiguous.
-LEAD = 0.05
+LEAD = 0.01
 
 
 def held_out(id_col: Column) -> Column:

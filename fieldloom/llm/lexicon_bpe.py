@@ -221,9 +221,12 @@ def compile_lexicon(df: DataFrame, text_col: str, path: str, size: int = LEXICON
 
 
 def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = LEXICON_WORDS) -> DataFrame:
-    """(id, ids binary, decoded string) of every whole text; null texts count as empty, repeated rows stay.
+    """(id, ids binary, decoded string) of every whole text.
 
-    ``ids`` holds little-endian unsigned 32-bit integers; ``decoded`` is made from them alone.
+    Null and empty texts have no ids and decode to an empty text; repeated rows and rows without an id stay; an empty table gives no
+    rows. A very long text is a slice of its own, and its words of over ``LONG_WORD`` characters are forgotten after use. Of
+    the other columns, whatever their names, none is read. Frequent words that tie for the lexicon's last places are drawn by a
+    hash, which changes no result. ``ids`` holds little-endian unsigned 32-bit integers; ``decoded`` is made from them alone.
     """
     blob = Shared(df.sparkSession, compile_lexicon(df, text_col, path, lexicon_words))
 
@@ -236,7 +239,7 @@ def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
 
 def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = LEXICON_WORDS) -> DataFrame:
-    """The operator's result in digest form, made where the ids are so that they need not travel."""
+    """The operator's result in digest form, made where the ids are so that they need not travel. Odd rows are treated as there."""
     blob = Shared(df.sparkSession, compile_lexicon(df, text_col, path, lexicon_words))
 
     def kernel(texts: list[str]) -> list[list]:

@@ -117,7 +117,7 @@ def host_scores(pages: DataFrame, scratch: Scratch, host: str = "host", html: st
     trust, distrust = spread(good, along, scratch), spread(bad, against, scratch)
     both = trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust")).unionByName(distrust.select("host", F.lit(0.0).alias("trust"), F.col("rank").alias("distrust")))
     out = scratch.save(both.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
-    scratch.drop(seeds, edges, along, against, trust, distrust)
+    scratch.keep_only(out)
     return out
 
 

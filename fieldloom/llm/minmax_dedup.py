@@ -243,7 +243,7 @@ def _ordered(rows: DataFrame, a: str, b: str) -> DataFrame:
 
 def classes_of(df: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Profiles of all rows, and (id, comp) of the class representatives that have links."""
-    spark = df.sparkSession
+    spark, since = df.sparkSession, scratch.n
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = scratch.save(profiles(df, id_col, text_col))
     own = rows.filter("set_key is not null and id is not null")
@@ -283,7 +283,9 @@ def classes_of(df: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> t
             across = mixed.join(minor, (F.col("key") == F.col("m_key")) & (F.col("comp") != F.col("m_comp")) & _can("both", "n", "m_both", "m_n") & once & alike)
             more = _ordered(across, "id", "m_id")
         links = scratch.save(links.unionByName(confirmed(more, sets)))
-    return rows, scratch.save(components(links, scratch))
+    out = scratch.save(components(links, scratch))
+    scratch.keep_only(rows, out, since=since)
+    return rows, out
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:

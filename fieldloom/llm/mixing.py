@@ -62,8 +62,10 @@ def sized(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mix_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """(id, size, source_size, target, taken) per document.
 
-    A null text has no words; a null source is a source; rows of equal id are taken alike; an empty table gives
-    no rows.
+    A null or empty text has no words and takes none; a null source is a source, the last; a source without words has target 0.
+    Rows of equal id are taken alike, repeated rows each count; an empty table gives no rows. A very long text is counted
+    whole. Only the three named columns are read, so others may have any names. The windows without a partition run over one row
+    per source, which one task holds as long as sources are fewer than millions.
     """
     out = with_copies(sized(df, id_col, text_col, source_col), seed)
     return out.select(

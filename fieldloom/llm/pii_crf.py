@@ -301,7 +301,12 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def pii_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every whole text; null texts count as empty, repeated rows stay."""
+    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every whole text.
+
+    Null and empty texts have no spans; repeated rows and rows without an id stay; an empty table gives no rows. A very long text is
+    searched in windows that end where no entity can reach over, so its time grows with its length. Of the other columns,
+    whatever their names, none is read. Spans of equal start stand in the order of kinds.
+    """
     w = trained()
 
     def kernel(texts: list[str]) -> list[list]:

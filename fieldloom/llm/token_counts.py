@@ -248,7 +248,12 @@ def compile_counts(df: DataFrame, text_col: str, path: str, size: int = LEXICON_
 def count_documents(
     df: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = LEXICON_WORDS,
 ) -> DataFrame:
-    """(id, n_bytes, n_tokens, over_limit) of every whole text; null texts count as empty, repeated rows stay."""
+    """(id, n_bytes, n_tokens, over_limit) of every whole text.
+
+    Null and empty texts have no tokens; repeated rows and rows without an id stay; an empty table gives no rows. A very long
+    text is a slice of its own, cut into chunks whose maps are composed, and its pre-tokens of over ``LONG_WORD`` characters are
+    forgotten after use. Of the other columns, whatever their names, none is read. ``limit`` tokens are not over it.
+    """
     blob = Shared(df.sparkSession, compile_counts(df, text_col, path, lexicon_words))
 
     def kernel(texts: list[str]) -> list[list]:
