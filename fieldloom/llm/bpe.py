@@ -11,6 +11,18 @@ import numpy as np
 TOGETHER = (4, 8, 12, 16, 24, 32, 64)
 
 
+#: Letters of the Unicode version that the tokenizer's patterns know and Python's tables don't, as first-last; then its digits.
+NEWER_LETTERS = """
+1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B 1138E-1138E 11390-113B5
+113B7-113B7 113D1-113D1 113D3-113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF-18CFF 1E5D0-1E5ED 1E5F0-1E5F0
+"""
+NEWER_DIGITS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+
+
+def newer_code_points(runs: str) -> list[int]:
+    return [i for run in runs.split() for a, b in [run.split("-")] for i in range(int(a, 16), int(b, 16) + 1)]
+
+
 class PairTable:
     """Merge ranks of pairs of ids in an open-addressing table, looked up for many pairs at once."""
 

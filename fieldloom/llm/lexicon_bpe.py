@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.bpe import Merger, packed
+from fieldloom.llm.bpe import NEWER_DIGITS, NEWER_LETTERS, Merger, newer_code_points, packed
 from fieldloom.llm.common import Shared, map_texts, mapped_file, most_frequent
 from fieldloom.llm.transducer import Transducer, build
 
@@ -36,6 +36,10 @@ _LATIN_WORDS = re.compile(rf"[{_LATIN['L']}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN['
 #: Marks that commonly end a run; such runs of ASCII letters need no pattern.
 _CLOSING = (",", ".", ";", ":", "!", "?", ")", '"')
 _LETTERS_OR_DIGITS = regex.compile(r"[\p{L}\p{N}]")
+#: The lower case that the tokenizer gives to capitals which Python's tables don't know.
+NEWER_CASE = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+NEWER_CASE |= {i: i + 0x20 for i in range(0x10D50, 0x10D66)} | {i: i + 0x1B for i in range(0x16EA0, 0x16EB9)}
+_NEWER_CAPITALS = re.compile("[" + "".join(map(chr, NEWER_CASE)) + "]")
 #: Words compiled into the lexicon: the most frequent ones of the corpus.
 LEXICON_WORDS = 100_000
 #: Entries a worker keeps of words it has met before it forgets them.
@@ -51,7 +55,8 @@ HELD_CHARS = 20_000_000
 @functools.cache
 def _strict_words() -> regex.Pattern:
     """The same pattern for texts beyond Latin-1: letters and digits that newer Unicode versions than the tokenizer's add are symbols."""
-    late = [i for i in range(0x250, 0x110000) if unicodedata.category(c := chr(i)) == "Cn" and _LETTERS_OR_DIGITS.match(c)]
+    newer = {*newer_code_points(NEWER_LETTERS), *newer_code_points(NEWER_DIGITS)}
+    late = [i for i in range(0x250, 0x110000) if unicodedata.category(c := chr(i)) == "Cn" and i not in newer and _LETTERS_OR_DIGITS.match(c)]
     runs: list[list[int]] = []
     for i in late:
         if runs and runs[-1][1] == i - 1:
@@ -82,7 +87,8 @@ def normalised(text: str) -> str:
     """NFC and lower case letter by letter (so without the final sigma's rule); white space stays, as it only parts chunks."""
     if not text.isascii() and not unicodedata.is_normalized("NFC", text):
         text = unicodedata.normalize("NFC", text)
-    return text.lower() if "Σ" not in text else "".join(map(str.lower, text))
+    text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
+    return text if text.isascii() or not _NEWER_CAPITALS.search(text) else text.translate(NEWER_CASE)
 
 
 def chunks(text: str) -> list[str]:

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.bpe import Merger
+from fieldloom.llm.bpe import NEWER_DIGITS, NEWER_LETTERS, Merger, newer_code_points
 from fieldloom.llm.common import Shared, map_texts, most_frequent, slices
 from fieldloom.llm.transducer import Transducer, build
 
@@ -85,9 +85,10 @@ def machine() -> tuple[np.ndarray, np.ndarray]:
 
 @functools.cache
 def class_table() -> np.ndarray:
-    """The class of each code point, by the Unicode categories."""
+    """The class of each code point, by the Unicode categories that the tokenizer knows."""
     major = {"L": LETTER, "N": DIGIT}
     t = np.fromiter((major.get(unicodedata.category(chr(i))[0], OTHER) for i in range(0x110000)), np.uint8, 0x110000)
+    t[newer_code_points(NEWER_LETTERS)], t[newer_code_points(NEWER_DIGITS)] = LETTER, DIGIT
     t[[9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = WHITE
     for chars, c in (("stmd", L_STMD), ("rv", L_RV), ("e", L_E), ("l", L_L), (" ", SPACE), ("'", APOS)):
         t[[ord(x) for x in chars]] = c
