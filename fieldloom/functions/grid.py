@@ -61,3 +61,28 @@ def world(transform: tuple[float, ...], col: Column, row: Column, half: float =
 def nearest_index(i: Column, target: int, source: int) -> Column:
     """The source cell of a target cell when ``source`` cells are spread over ``target``."""
     return F.least(F.floor(i * source / target), F.lit(source - 1)).cast("long")
+
+
+#: Means and deviations of red, green and blue that image networks are trained with (public, fixed values).
+MEAN, DEVIATION = (0.485, 0.456, 0.406), (0.229, 0.224, 0.225)
+
+
+def normalised(rgb):
+    """[height, width, 3] bytes as the centred floats that a network takes, [3, height, width]."""
+    import numpy as np
+
+    return ((rgb.astype(np.float32) / 255 - np.float32(MEAN)) / np.float32(DEVIATION)).transpose(2, 0, 1)
+
+
+def resolution_note(pixel, target):
+    """What to do with a raster of this pixel size: ``resample`` finer ones, ``keep`` near ones and ``coarser`` ones, which are never made finer.
+
+    Columns and numbers are both taken.
+    """
+    from pyspark.sql import Column
+    from pyspark.sql import functions as F
+
+    ratio = pixel / target
+    if isinstance(ratio, Column):
+        return F.when(ratio < 0.98, "resample").when(ratio > 1.02, "coarser").otherwise("keep")
+    return "resample" if ratio < 0.98 else "coarser" if ratio > 1.02 else "keep"

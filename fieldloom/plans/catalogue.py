@@ -496,8 +496,7 @@ def _(spark, d):
 
 @query("resolution_note", "SELECT p_partkey, CASE WHEN p_size / 25.0 < 0.98 THEN 'resample' WHEN p_size / 25.0 > 1.02 THEN 'coarser' ELSE 'keep' END AS note FROM part")
 def _(spark, d):
-    r = F.col("p_size") / 25.0
-    return _table(spark, d, "part").select("p_partkey", F.when(r < 0.98, "resample").when(r > 1.02, "coarser").otherwise("keep").alias("note"))
+    return _table(spark, d, "part").select("p_partkey", grid.resolution_note(F.col("p_size"), 25.0).alias("note"))
 
 
 @query("long_names", "SELECT DISTINCT p_name AS name, CAST(length(p_name) AS INT) AS width FROM part WHERE length(p_name) > 8")

@@ -1,4 +1,4 @@
-"""Baseline GeoTIFF reading and writing: strips or tiles, uncompressed or deflate, horizontal predictor."""
+"""GeoTIFF reading and writing: strips or tiles; uncompressed, deflate, LZW or PackBits; horizontal and floating-point predictors. Written are deflate files."""
 
 from __future__ import annotations
 
@@ -46,6 +46,48 @@ class Ranges:
         return self.file.read_at(at.stop - (at.start or 0), at.start or 0)
 
 
+def unpackbits(data: bytes) -> bytes:
+    """Runs of literal and of repeated bytes."""
+    out, at = bytearray(), 0
+    while at < len(data):
+        n = data[at]
+        if n < 128:
+            out += data[at + 1 : at + 2 + n]
+            at += n + 2
+        else:
+            if n > 128:
+                out += data[at + 1 : at + 2] * (257 - n)
+            at += 2 if n > 128 else 1
+    return bytes(out)
+
+
+def unlzw(data: bytes) -> bytes:
+    """Codes of 9 to 12 bits, high bits first; 256 clears the table, 257 ends; codes grow one entry early."""
+    first = [bytes([i]) for i in range(256)] + [b"", b""]
+    table, out, last, bits, held, width = list(first), [], None, 0, 0, 9
+    for byte in data:
+        held, bits = (held << 8 | byte) & 0xFFFFFF, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code = held >> bits & ((1 << width) - 1)
+        if code == 257:
+            break
+        if code == 256:
+            table, last, width = list(first), None, 9
+            continue
+        if last is None:
+            word = table[code]
+        else:
+            word = table[code] if code < len(table) else last + last[:1]
+            table.append(last + word[:1])
+        out.append(word)
+        last = word
+        if len(table) + 1 >= 1 << width and width < 12:
+            width += 1
+    return b"".join(out)
+
+
 class Reader:
     """Reads the header once and then only the strips or tiles under a window. 64-bit files are read too."""
 
@@ -61,7 +103,7 @@ class Reader:
         one = lambda t, default=None: tags[t][0] if t in tags else default
         self.width, self.height, self.bands = one(256), one(257), one(277, 1)
         self.compression, self.predictor, self.planar = one(259, 1), one(317, 1), one(284, 1)
-        if self.compression not in (1, 8, 32946) or self.predictor not in (1, 2):
+        if self.compression not in (1, 5, 8, 32773, 32946) or self.predictor not in (1, 2, 3):
             raise ValueError(f"compression {self.compression} with predictor {self.predictor} isn't supported")
         bits, kind = one(258, 8), {1: "u", 2: "i", 3: "f"}[one(339, 1)]
         self.dtype = np.dtype(f"{self.order}{kind}{bits // 8}")
@@ -105,8 +147,13 @@ class Reader:
             return np.full((rows, self.block_w, self.bands if self.planar == 1 else 1), self.nodata or 0, self.dtype)
         raw = self.blob[self.offsets[k] : self.offsets[k] + self.counts[k]]
         if self.compression != 1:
-            raw = zlib.decompress(raw)
+            raw = {5: unlzw, 32773: unpackbits}.get(self.compression, zlib.decompress)(raw)
         samples = self.bands if self.planar == 1 else 1
+        if self.predictor == 3:  # bytes of one significance stand together, the highest first, as differences along the row
+            wide = self.dtype.itemsize
+            b = np.frombuffer(raw, np.uint8, rows * self.block_w * samples * wide).reshape(rows, self.block_w * wide, samples)
+            b = np.cumsum(b, axis=1, dtype=np.uint8).reshape(rows, wide, self.block_w * samples).transpose(0, 2, 1)
+            return np.ascontiguousarray(b).view(self.dtype.newbyteorder(">")).reshape(rows, self.block_w, samples).astype(self.dtype)
         a = np.frombuffer(raw, self.dtype, rows * self.block_w * samples).reshape(rows, self.block_w, samples)
         return np.cumsum(a, axis=1, dtype=a.dtype) if self.predictor == 2 else a
 

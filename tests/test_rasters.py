@@ -132,8 +132,72 @@ def test_a_geographic_raster_is_made_projected():
     lon, lat, step = 147.0, -36.0, 1e-4
     y, x = np.mgrid[0:40, 0:60]
     rd = tiff.Reader(tiff.encode(tiff.Raster((x * 2 + y)[None].astype(np.float32), (step, 0.0, lon, 0.0, -step, lat), 4326)))
-    epsg, target, width, height, back = models.target_grid(rd, 5.0)
-    assert epsg == 32755 and abs(width * 5 - 60 * step * 111320 * np.cos(np.radians(lat))) < 20 and abs(height * 5 - 40 * step * 110950) < 20
+    epsg, target, width, height, back = models.target_grid(rd, 10.0)
+    assert epsg == 32755 and abs(width * 10 - 60 * step * 111320 * np.cos(np.radians(lat))) < 30 and abs(height * 10 - 40 * step * 110950) < 30
     a = models.warp_window(rd, target, height // 2, width // 2, 1, 1, back)[0, 0, 0]
-    px = back(target[2] + (width // 2 + 0.5) * 5, target[5] - (height // 2 + 0.5) * 5)
+    px = back(target[2] + (width // 2 + 0.5) * 10, target[5] - (height // 2 + 0.5) * 10)
+    assert models.target_grid(rd, 5.0)[1][0] == pytest.approx(models.pixel_size(rd)) == pytest.approx(9.0, abs=0.1)  # never made finer
     assert a == pytest.approx(((px[0] - lon) / step - 0.5) * 2 + (lat - px[1]) / step - 0.5, abs=0.01)
+
+
+def lzw(data):
+    """A plain encoder: 9 to 12 bits, high bits first, a clear code at the start and when the table is full."""
+    bits, table, width, word = [], {}, 9, b""
+
+    def put(code):
+        bits.extend(code >> k & 1 for k in range(width - 1, -1, -1))
+
+    put(256)
+    table = {bytes([i]): i for i in range(256)}
+    n = 258
+    for b in data:
+        if word + bytes([b]) in table:
+            word += bytes([b])
+            continue
+        put(table[word])
+        table[word + bytes([b])] = n
+        n += 1
+        if n >= (1 << width) and width < 12:
+            width += 1
+        if n >= 4094:
+            put(256)
+            table, n, width = {bytes([i]): i for i in range(256)}, 258, 9
+        word = bytes([b])
+    if word:
+        put(table[word])
+        n += 1
+        if n >= (1 << width) and width < 12:
+            width += 1
+    put(257)
+    bits += [0] * (-len(bits) % 8)
+    return bytes(int("".join(map(str, bits[i : i + 8])), 2) for i in range(0, len(bits), 8))
+
+
+def test_other_compressions():
+    rng = np.random.default_rng(3)
+    for data in (b"", b"a", b"abababababab" * 50, rng.integers(0, 4, 30_000, dtype=np.uint8).tobytes(), rng.integers(0, 256, 20_000, dtype=np.uint8).tobytes()):
+        assert tiff.unlzw(lzw(data)) == data
+    assert tiff.unpackbits(bytes([0xFE, 0xAA, 0x02, 0x80, 0x00, 0x2A, 0xFD, 0xAA, 0x03, 0x80, 0x00, 0x2A, 0x22, 0xF7, 0xAA])) == bytes.fromhex("AAAAAA80002AAAAAAAAA80002A22AAAAAAAAAAAAAAAAAAAA")
+
+
+def test_the_floating_point_predictor():
+    a = np.random.default_rng(4).normal(size=(2, 5, 7)).astype(np.float32)
+    r = tiff.Reader(tiff.encode(tiff.Raster(a, (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), 32755)))
+    assert (r.read() == a).all()
+    planes = np.ascontiguousarray(a.transpose(1, 2, 0)).astype(">f4").view(np.uint8).reshape(5, 14, 4).transpose(0, 2, 1).reshape(5, 28, 2)  # rows, bytes by significance, bands
+    coded = np.diff(planes, axis=1, prepend=np.zeros((5, 1, 2), np.uint8)).astype(np.uint8).tobytes()
+    r.blob, r.offsets, r.counts, r.compression, r.predictor, r.tiled, r.block_w, r.block_h = coded, (0,), (len(coded),), 1, 3, False, 7, 5
+    assert (r.read() == a).all()
+
+
+def test_colours_notes_and_normalised_images(spark):
+    from pyspark.sql import functions as F
+
+    from fieldloom.functions import grid, names
+
+    classes = ["Sphagnum", "Heath", "Other", "Fern"]
+    rows = spark.createDataFrame([("Sphagnum",), ("Heath",), ("Fern",), ("Nothing",), (None,)], "n string")
+    assert [r[0] for r in rows.select(names.colour(F.col("n"), classes)).collect()] == ["#911eb4", "#f58231", "#42d4f4", "#ff00ff", "#ff00ff"]
+    assert [grid.resolution_note(x, 1.0) for x in (0.97, 0.99, 1.02, 1.03)] == ["resample", "keep", "keep", "coarser"]
+    out = grid.normalised(np.full((2, 3, 3), 255, np.uint8))
+    assert out.shape == (3, 2, 3) and out[0, 0, 0] == pytest.approx((1 - 0.485) / 0.229)
