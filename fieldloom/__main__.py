@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.config import Settings
+from fieldloom.config import Settings, read_settings, resolve
 from fieldloom.functions import grid
 from fieldloom.operators import spatial
 
@@ -22,19 +22,41 @@ def _session() -> SparkSession:
     return SparkSession.builder.appName("fieldloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
+def _replace(df, out: str, site: str) -> None:
+    """Write a site's rows in place of those of an earlier run; other sites stay."""
+    df.withColumn("site", F.lit(site)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("site").parquet(out)
+
+
+def _existing(spark, path: str):
+    """A table, or None where there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return None
+
+
+def _print(df) -> None:
+    """All rows of a report: one per class, layer or site."""
+    df.show(max(1, df.count()), False)
+
+
 def tile(a, s: Settings) -> None:
     from fieldloom.sources import tiff
 
     rows = tiff.read_tiles(_session(), a.ortho, s.tile_size, s.overlap, s.min_valid)
-    rows.withColumn("site", F.lit(a.site)).write.mode("append").partitionBy("site").parquet(a.out)
+    _replace(rows, a.out, a.site)
 
 
 def features(a, s: Settings) -> None:
     from fieldloom.operators import models
 
     spark = _session()
-    tiles = spark.read.parquet(a.tiles).filter(F.col("site") == a.site)
-    models.extract_features(tiles, s.tile_size).withColumn("site", F.lit(a.site)).write.mode("append").partitionBy("site").parquet(a.out)
+    tiles, done = spark.read.parquet(a.tiles).filter(F.col("site") == a.site), _existing(spark, a.out)
+    if done is not None:  # tiles that an earlier run finished are left out
+        done = done.filter(F.col("site") == a.site).select("stem").distinct()
+    models.extract_features(tiles, s.tile_size, done=done).withColumn("site", F.lit(a.site)).write.mode("append").partitionBy("site").parquet(a.out)
 
 
 def cluster(a, s: Settings) -> None:
@@ -44,7 +66,7 @@ def cluster(a, s: Settings) -> None:
     p = spark.read.parquet(a.features).filter(F.col("site") == a.site).withColumn("pid", F.struct("stem", "pr", "pc"))
     centres = vectors.fit_kmeans(p, "pid", "feat", s.clusters, s.sample_fraction, seed=s.seed)
     cells = vectors.assign_centroids(p, centres, "pid", "feat", "cluster_id", "centre").select("pid.*", "cluster_id")
-    cells.withColumn("site", F.lit(a.site)).write.mode("append").partitionBy("site").parquet(a.out)
+    _replace(cells, a.out, a.site)
 
 
 def montage(a, s: Settings) -> None:
@@ -62,8 +84,10 @@ def pseudolabel(a, s: Settings) -> None:
     classes = spark.createDataFrame(sorted(s.classes.items()), "class_id int, name string")
     mapping = sampling.cluster_classes(sampling.read_names(spark, a.names), classes)
     maps = models.pseudolabels(models.cluster_map(spark.read.parquet(a.cells).filter(F.col("site") == a.site), s.tile_size, s.tile_size // 14), mapping)
-    maps.withColumn("site", F.lit(a.site)).write.mode("append").partitionBy("site").parquet(a.out)
-    models.byte_counts(spark.read.parquet(a.out).select("stem", "data")).orderBy("cls").show()
+    _replace(maps, a.out, a.site)
+    with open(f"{a.out.removeprefix('file:').rstrip('/')}_mapping.json", "w") as f:
+        json.dump({"cluster_to_class_id": mapping, "class_id_to_name": s.classes}, f, indent=2)
+    _print(models.byte_counts(spark.read.parquet(a.out).filter(F.col("site") == a.site).select("stem", "data")).orderBy("cls"))
 
 
 def init(a, s: Settings) -> None:
@@ -73,10 +97,16 @@ def init(a, s: Settings) -> None:
 
 
 def ingest(a, s: Settings) -> None:
-    from fieldloom.sources import gpkg
+    from fieldloom.sources import gpkg, tables
 
     rows = gpkg.read_polygons(_session(), a.source)
     flat = rows.select(F.lit(a.site).alias("site"), "layer", "fid", "wkb", F.col("area").alias("geom_area"), "x0", "y0", "x1", "y1", *[F.col("attrs")[n].cast(t).alias(n) for n, t in gpkg.FIELDS])
+    old = _existing(_session(), a.polygons)
+    if old is not None:  # what a former run took in stays as it is
+        key = [F.xxhash64("wkb"), F.coalesce(F.nullif(F.trim("species"), F.lit("")), F.lit(""))]
+        flat = gpkg.conform(flat.withColumn("species", F.coalesce(F.nullif(F.trim("species"), F.lit("")), F.col("layer"))).drop("layer"))
+        seen = gpkg.load(_session(), a.polygons).filter(F.col("site") == a.site).select(key[0].alias("o_key"), key[1].alias("o_species")).distinct()
+        flat = tables.Scratch(_session()).save(flat.join(seen, (key[0] == F.col("o_key")) & (key[1] == F.col("o_species")), "left_anti"))
     gpkg.append(flat, a.polygons)
 
 
@@ -85,7 +115,7 @@ def count(a, s: Settings) -> None:
 
     auto = F.col("source").eqNullSafe("auto")
     rows = gpkg.load(_session(), a.polygons).groupBy("site", "species")
-    rows.agg(F.count("*").alias("total"), F.count_if(~auto).alias("hand"), F.count_if(auto).alias("auto")).orderBy("site", "species").show(1000, False)
+    _print(rows.agg(F.count("*").alias("total"), F.count_if(~auto).alias("hand"), F.count_if(auto).alias("auto")).orderBy("site", "species"))
 
 
 def clean(a, s: Settings) -> None:
@@ -124,6 +154,8 @@ def prepare(a, s: Settings) -> None:
         return
     r = _reader(a.ortho)
     epsg, target, width, height, back = models.target_grid(r, s.resolution)
+    if grid.resolution_note(own := models.pixel_size(r), s.resolution) == "coarser":
+        print(f"pixels of {own:.4f} m are coarser than the {s.resolution} m asked for and stay")
     blocks = models.warp(_session(), f"file:{made_of['path']}", target, width, height, back)
     _write(blocks, a.out, width, height, 512, r.bands, r.dtype.newbyteorder("=").str, (target, epsg), r.nodata)
     with open(note, "w") as f:
@@ -201,8 +233,9 @@ def candidates(a, s: Settings) -> None:
         up = s.tile_size / per
         t, top = F.col("transform"), F.col("t_idx") * (per + 1)
         affine = F.array(t[0] * up, t[1] * up, t[2] - t[1] * up * top, t[3] * up, t[4] * up, t[5] - t[4] * up * top)
-        placed = found.select(polygons.st_affine(F.col("wkb"), affine).alias("wkb"))
-        shapes = polygons.with_bounds(placed).withColumn("area", polygons.st_area("wkb"))
+        pixel = F.abs(t[0] * t[4] - t[1] * t[3])
+        placed = found.select(polygons.st_affine(F.col("wkb"), affine).alias("wkb"), pixel.alias("pixel"))
+        shapes = polygons.with_bounds(placed).withColumn("area", polygons.st_area("wkb")).filter(F.col("area") >= F.col("pixel") * float(a.min_px))
     shapes = tables.Scratch(spark).save(shapes.select(F.xxhash64("wkb").alias("cid"), "wkb", "area", *spatial.BOX).dropDuplicates(["cid"]))
     out = propagate.candidate_library(shapes, "cid", tiles, patches, per, _cell(tiles), s)
     out.withColumn("site", F.lit(a.site)).write.mode("overwrite").partitionBy("site").option("partitionOverwriteMode", "dynamic").parquet(a.out)
@@ -238,7 +271,7 @@ def propagate(a, s: Settings) -> None:
     stamp = datetime.datetime.now(datetime.timezone.utc).isoformat(timespec="seconds")
     new, scored = p.propagate(found, "cid", layer, rows, a.species, stamp, cell, s)
     new = tables.Scratch(spark).save(new)
-    vectors.histogram(scored, "sim_x").orderBy("bin").show()
+    _print(vectors.histogram(scored, "sim_x").orderBy("bin"))
     print(f"{new.count()} new polygons of {a.species}")
     gpkg.append(new.withColumn("site", F.lit(a.site)).withColumnRenamed("cid", "fid"), a.polygons)
 
@@ -270,18 +303,28 @@ def import_labels(a, s: Settings) -> None:
         stem = os.path.splitext(os.path.basename(file))[0]
         existing = scratch.save(_layer(spark, a))
         new, report = exchange.import_rows(rows, existing, classes, field, stem, box, names.overrides(a.map or [], set(known)), float(a.min_inside), float(a.dup_iou), max(box[2] - box[0], box[3] - box[1], 1e-6) / 256, scratch)
-        report.show(1000, False)
+        _print(report)
         if not a.dry_run:
             gpkg.append(new.withColumn("site", F.lit(a.site)).withColumn("source", F.lit("nesp")).withColumn("fid", F.xxhash64("lb_note")), a.polygons)
 
 
 def export_labels(a, s: Settings) -> None:
-    """The rows to send, with their new ids, are added to a table, and then to the log of what was sent."""
-    from fieldloom.operators import exchange
+    """The rows to send, with their new ids and in the receiver's spelling, are added to a table, and then to the log of what was sent."""
+    from fieldloom.functions import names
+    from fieldloom.operators import exchange, lookup
     from fieldloom.sources import gpkg, tables
 
     spark, scratch = _session(), tables.Scratch(_session())
-    target = gpkg.read_polygons(spark, a.to).select(F.col("attrs")[a.id_field].try_cast("long").alias("id"), "wkb", "area", *spatial.BOX)
+    local = a.to.removeprefix("file:")
+    if not os.path.exists(local) and a.to.endswith(".gpkg") and not a.dry_run:
+        with open(local, "wb") as f:  # a fresh file with the receiver's columns
+            f.write(gpkg.encode({os.path.splitext(os.path.basename(local))[0]: []}, fields=gpkg.TARGET_FIELDS))
+    there = scratch.save(gpkg.read_polygons(spark, a.to))
+    target = there.select(F.col("attrs")[a.id_field].try_cast("long").alias("id"), "wkb", "area", *spatial.BOX)
+    classes = spark.createDataFrame(s.named(), "class_id int, name string")
+    given = names.overrides(a.map or [], {n for _, n in s.named()})
+    spelt = there.select("layer", "fid", "part", F.col("attrs")[a.name_field].alias("theirs")).filter("theirs is not null")
+    learned = {r["species"]: r["spelling"] for r in lookup.learned_spelling(spelt, "theirs", ["layer", "fid", "part"], classes, given).collect()}  # one row per class
     rows = _layer(spark, a).withColumn("layer", F.col("species")).withColumn("part", F.lit(0))
     log = spark.createDataFrame([], "layer string, fid long, site string")
     try:
@@ -290,8 +333,8 @@ def export_labels(a, s: Settings) -> None:
         if "PATH_NOT_FOUND" not in str(e):
             raise
     sides = rows.agg(F.avg(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
-    send, counts = exchange.export_rows(rows, target, log.filter(F.col("site") == a.site), float(sides or 1.0), scratch, float(a.dedup_iou), a.include_imported, a.species, a.all, int(a.width) if a.width else None)
-    counts.orderBy("layer").show(1000, False)
+    send, counts = exchange.export_rows(rows, target, log.filter(F.col("site") == a.site), float(sides or 1.0), scratch, float(a.dedup_iou), a.include_imported, a.species, a.all, int(a.width) if a.width else None, learned, {ours: theirs for theirs, ours in reversed(given.items())})
+    _print(counts.orderBy("layer"))
     if not a.dry_run:
         send = scratch.save(send.withColumn("site", F.lit(a.site)))
         send.write.mode("append").parquet(a.out)
@@ -334,14 +377,40 @@ def validate(a, s: Settings) -> None:
     sides = [tiff.read_tiles(spark, x, 512, 0, 0.0, pad=False).select("row_idx", "col_idx", "data").withColumnRenamed("data", n) for x, n in ((a.truth, "truth"), (a.pred, "pred"))]
     per = metrics.iou_of_counts(models.confusion(sides[0].join(sides[1], ["row_idx", "col_idx"]))).filter(F.col("cls") != 255)
     classes = spark.createDataFrame(sorted(s.classes.items()), "class_id int, name string")
-    per.join(F.broadcast(classes), F.col("cls") == F.col("class_id"), "left").select("cls", "name", "inter", "uni", "iou").orderBy("cls").show(1000, False)
-    metrics.mean_iou(per).show()
+    _print(per.join(F.broadcast(classes), F.col("cls") == F.col("class_id"), "left").select("cls", "name", "inter", "uni", "iou").orderBy("cls"))
+    _print(metrics.mean_iou(per))
+
+
+def batch(a, s: Settings) -> None:
+    """Tiles and features of every site of a manifest; one that fails doesn't stop the others, and all failures are told in the end."""
+    from fieldloom.config import upsert_record
+    from fieldloom.operators import sampling
+
+    failed = {}
+    for row in sampling.read_manifest(_session(), a.manifest).collect():  # a few lines that a person wrote
+        folder = os.path.join(a.out, row["site"])
+        try:
+            one = argparse.Namespace(site=row["site"], ortho=row["path"], tiles=os.path.join(a.out, "tiles"), out=os.path.join(a.out, "tiles"))
+            tile(one, s)
+            one.out = os.path.join(a.out, "features")
+            features(one, s)
+            os.makedirs(folder, exist_ok=True)
+            note = os.path.join(folder, "site.json")
+            old = open(note).read() if os.path.exists(note) else None
+            with open(note, "w") as f:
+                f.write(upsert_record(old, {"site": row["site"], "ortho": row["path"]}))
+            print(f"{row['site']}: done")
+        except Exception as e:  # noqa: BLE001
+            failed[row["site"]] = str(e).splitlines()[0] if str(e) else type(e).__name__
+            print(f"{row['site']}: failed, {failed[row['site']]}")
+    if failed:
+        raise SystemExit(f"{len(failed)} sites failed: {', '.join(sorted(failed))}")
 
 
 def layers(a, s: Settings) -> None:
     from fieldloom.sources import gpkg
 
-    gpkg.list_layers(_session(), a.source).orderBy("path", "layer").show(1000, False)
+    _print(gpkg.list_layers(_session(), a.source).orderBy("path", "layer"))
 
 
 #: Each command's function, its required options, its further options with their defaults (False makes a switch).
@@ -351,11 +420,11 @@ COMMANDS = {
     "init": (init, ("polygons", "site"), {"force": False}), "ingest": (ingest, ("source", "site", "polygons"), {}), "count": (count, ("polygons",), {}),
     "clean": (clean, ("polygons", "site"), {"species": None, "all": False, "backup": None}), "layers": (layers, ("source",), {}),
     "prepare": (prepare, ("ortho", "out"), {"force": False}), "mosaic": (mosaic, ("tiles", "site", "out"), {"band": "0"}),
-    "rasterize": (rasterize, ("polygons", "site", "ortho", "out"), {}),
-    "candidates": (candidates, ("tiles", "features", "site", "out"), {"cells": None, "vector": None}),
+    "rasterize": (rasterize, ("polygons", "site", "out"), {"ortho": None, "record": None}), "batch": (batch, ("manifest", "out"), {}),
+    "candidates": (candidates, ("tiles", "features", "site", "out"), {"cells": None, "vector": None, "min_px": "0"}),
     "propagate": (propagate, ("polygons", "candidates", "tiles", "features", "site", "species"), {"threshold": None, "margin": None}),
-    "import": (import_labels, ("source", "polygons", "site", "ortho"), {"field": None, "map": [], "min_inside": "0.5", "dup_iou": "0.95", "dry_run": False}),
-    "export": (export_labels, ("polygons", "site", "to", "out", "log"), {"id_field": "id", "species": None, "include_imported": False, "all": False, "dedup_iou": "0.9", "width": None, "dry_run": False}),
+    "import": (import_labels, ("source", "polygons", "site"), {"ortho": None, "record": None, "field": None, "map": [], "min_inside": "0.5", "dup_iou": "0.95", "dry_run": False}),
+    "export": (export_labels, ("polygons", "site", "to", "out", "log"), {"id_field": "id", "name_field": "Species", "map": [], "species": None, "include_imported": False, "all": False, "dedup_iou": "0.9", "width": None, "dry_run": False}),
     "train": (train, ("features", "maps", "site", "out"), {}), "infer": (infer, ("ortho", "model", "out"), {}), "validate": (validate, ("truth", "pred"), {}),
 }
 
@@ -365,15 +434,16 @@ def main(argv: list[str]) -> int:
     subs = top.add_subparsers(dest="command", required=True)
     for name, (run, needed, more) in COMMANDS.items():
         p = subs.add_parser(name, description=run.__doc__)
-        p.add_argument("--config", help="a JSON file of settings")
+        p.add_argument("--config", help="a JSON or YAML file of settings")
         for x in needed:
             p.add_argument(f"--{x}", required=True)
         for x, default in more.items():
             kind = {"action": "store_true"} if default is False else {"action": "append"} if default == [] else {"default": default}
             p.add_argument(f"--{x.replace('_', '-')}", **kind)
     a = top.parse_args(argv)
-    given = json.load(open(a.config)) if a.config else None
-    COMMANDS[a.command][0](a, Settings.of(given))
+    if "record" in a:  # the raster that was given, else the one that the site's record names
+        a.ortho = resolve(a.ortho, json.load(open(a.record)).get("ortho") if a.record else None)
+    COMMANDS[a.command][0](a, read_settings(a.config))
     return 0
 
 

@@ -19,7 +19,7 @@ def map_classes(df: DataFrame, mapping: dict[int, int], cluster: Column, default
 def named_classes(rows: DataFrame, classes: DataFrame, name: str = "species") -> DataFrame:
     """(cluster_id, class_id); blank names mean background, and all unknown ones are reported at once."""
     found = rows.withColumn("n_name", names.clean(F.col(name))).join(F.broadcast(classes.select("class_id", F.col("name").alias("c_name"))), F.col("n_name") == F.col("c_name"), "left")
-    bad = [r["n_name"] for r in found.filter("class_id is null").select("n_name").distinct().orderBy("n_name").limit(1000).collect()]
+    bad = [r["n_name"] for r in found.filter("class_id is null").select("n_name").distinct().orderBy("n_name").collect()]
     if bad:
         raise ValueError(f"unknown names: {', '.join(bad)}")
     return found.select("cluster_id", "class_id")
@@ -33,14 +33,21 @@ def is_seed(source: Column, sources: tuple = (None, "seed", "auto", "nesp")) ->
 
 
 def match_names(df: DataFrame, theirs: str, classes: DataFrame, overrides: dict[str, str]) -> DataFrame:
-    """Add ``ours``: an override, else the exact name, else the loose key (the smallest class name of a key)."""
+    """Add ``ours``: an override, else the exact name, else the loose key (of classes of one key the last counts: the largest ``class_id``, or name without one)."""
     over = F.element_at(F.create_map(*[F.lit(x) for kv in overrides.items() for x in kv]), F.lower(F.trim(F.col(theirs)))) if overrides else F.lit(None).cast("string")
     exact = classes.select(F.col("name").alias("e_name")).distinct()
-    keyed = classes.select(names.name_key(F.col("name")).alias("k_key"), "name").groupBy("k_key").agg(F.min("name").alias("k_name"))
+    place = F.col("class_id") if "class_id" in classes.columns else F.lit(0)
+    keyed = classes.select(names.name_key(F.col("name")).alias("k_key"), "name", place.alias("place")).groupBy("k_key").agg(F.max_by("name", F.struct("place", "name")).alias("k_name"))
     out = df.join(exact, F.trim(F.col(theirs)) == F.col("e_name"), "left").join(keyed, names.name_key(F.col(theirs)) == F.col("k_key"), "left")
     return out.withColumn("ours", F.coalesce(over, "e_name", "k_name")).drop("e_name", "k_key", "k_name")
 
 
+def learned_spelling(df: DataFrame, theirs: str, order: list[str], classes: DataFrame, overrides: dict[str, str]) -> DataFrame:
+    """(species, spelling): how the other side spells each class, by the first row that names it."""
+    named = match_names(df, theirs, classes, overrides).filter("ours is not null")
+    return named.groupBy(F.col("ours").alias("species")).agg(F.min_by(F.trim(F.col(theirs)), F.struct(*order)).alias("spelling"))
+
+
 def to_theirs(name: Column, learned: dict[str, str], overrides: dict[str, str]) -> Column:
     pick = lambda m: F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), name) if m else F.lit(None).cast("string")
     return F.coalesce(pick(learned), pick(overrides), names.abbreviated(name))

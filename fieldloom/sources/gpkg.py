@@ -18,6 +18,8 @@ FIELDS = (
     ("lb_name", "string"), ("lb_note", "string"), ("group_ulid", "string"), ("N_GM", "int"), ("id", "int"), ("Area", "double"), ("N_FG", "int"),
     ("N_BG", "int"), ("BBox", "string"), ("species", "string"), ("source", "string"), ("score", "double"), ("run_ts", "string"),
 )
+#: Attributes of a file that labels are handed over in (fixed format).
+TARGET_FIELDS = (("id", "int"), ("Review", "string"), ("Comments", "string"), ("Species", "string"))
 POLYGONS = "path string, layer string, fid long, part int, wkb binary, area double, x0 double, y0 double, x1 double, y1 double, attrs map<string,string>"
 
 
@@ -45,7 +47,7 @@ def _rows(db: sqlite3.Connection, table: str, column: str) -> Iterable[tuple[int
 
 
 def read_polygons(spark: SparkSession, path: str, layers: list[str] | None = None) -> DataFrame:
-    """Every polygon of every layer under a path, multipolygons parted; null, empty and flat geometries go.
+    """Every polygon of every layer under a path, multipolygons and self-crossing rings parted; null, empty and flat geometries go.
 
     ``part`` counts the kept parts of a feature from 0. Attributes stay a map, as layers differ.
     """
@@ -62,7 +64,7 @@ def read_polygons(spark: SparkSession, path: str, layers: list[str] | None = Non
                         continue
                     out = []
                     for fid, polygons, attrs in _rows(db, table, column):
-                        good = [p for p in map(geometry.repaired, polygons) if p and geometry.area(p) > 0]
+                        good = [v for p in polygons for v in geometry.made_valid(p) if geometry.area(v) > 0]
                         out += [(file, table, fid, k, geometry.write_wkb(p), geometry.area(p), *geometry.bounds(p), attrs) for k, p in enumerate(good)]
                     yield pd.DataFrame(out, columns=names)
 
@@ -87,8 +89,8 @@ def list_layers(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(scan, "path string, layer string, n long")
 
 
-def encode(layers: dict[str, list[tuple[geometry.Polygon, dict]]], srs_id: int = 32755) -> bytes:
-    """A GeoPackage with one table per species; unset attributes stay null and empty geometries are skipped."""
+def encode(layers: dict[str, list[tuple[geometry.Polygon, dict]]], srs_id: int = 32755, fields: tuple = FIELDS) -> bytes:
+    """A GeoPackage with one table per layer; unset attributes stay null and empty geometries are skipped."""
     with tempfile.TemporaryDirectory() as folder:
         path = os.path.join(folder, "x.gpkg")
         db = sqlite3.connect(path)
@@ -101,12 +103,12 @@ def encode(layers: dict[str, list[tuple[geometry.Polygon, dict]]], srs_id: int =
         db.execute("INSERT INTO gpkg_spatial_ref_sys VALUES (?, ?, 'EPSG', ?, 'undefined', NULL)", (f"EPSG:{srs_id}", srs_id, srs_id))
         kinds = {"string": "TEXT", "int": "INTEGER", "double": "REAL"}
         for layer, rows in layers.items():
-            db.execute(f'CREATE TABLE "{layer}" (fid INTEGER PRIMARY KEY, geom BLOB, {", ".join(f"{chr(34)}{n}{chr(34)} {kinds[t]}" for n, t in FIELDS)})')
+            db.execute(f'CREATE TABLE "{layer}" (fid INTEGER PRIMARY KEY, geom BLOB, {", ".join(f"{chr(34)}{n}{chr(34)} {kinds[t]}" for n, t in fields)})')
             db.execute("INSERT INTO gpkg_contents (table_name, data_type, identifier, srs_id) VALUES (?, 'features', ?, ?)", (layer, layer, srs_id))
             db.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'POLYGON', ?, 0, 0)", (layer, srs_id))
             for p, attrs in rows:
                 if p:
-                    names = [n for n, _ in FIELDS if attrs.get(n) is not None]
+                    names = [n for n, _ in fields if attrs.get(n) is not None]
                     marks = ", ".join("?" * (len(names) + 1))
                     cols = ", ".join(["geom", *(f'"{n}"' for n in names)])
                     db.execute(f'INSERT INTO "{layer}" ({cols}) VALUES ({marks})', [geometry.wkb_to_blob(geometry.write_wkb(p), srs_id), *(attrs[n] for n in names)])
@@ -156,16 +158,25 @@ def init_layers(spark: SparkSession, path: str, site: str, force: bool = False)
 
 
 def delete(spark: SparkSession, path: str, where, keep_copy: str | None = None) -> int:
-    """Remove the rows of a predicate: partitions that hold some are rewritten, the others stay as they are."""
-    from fieldloom.sources.tables import Scratch
+    """Remove the rows of a predicate. Partitions that hold some are rewritten one file set for another, and those that lose all
+    their rows go last; the files of other sites and species are not touched, and what stays is on disk before anything is replaced."""
+    from fieldloom.sources.tables import Scratch, remove
 
-    rows = load(spark, path)
+    rows, part = load(spark, path), ["site", "species"]
     hit = F.coalesce(where, F.lit(False))
-    n = rows.filter(hit).count()
-    if not n:
+    counts = rows.withColumn("file", F.input_file_name()).groupBy(*part).agg(F.count("*").alias("n"), F.count_if(hit).alias("hits"), F.min("file").alias("file")).filter("hits > 0")
+    touched = counts.collect()  # one row per site and species that loses rows
+    if not touched:
         return 0
     if keep_copy:
-        rows.write.mode("errorifexists").partitionBy("site", "species").parquet(keep_copy)
-    rest = Scratch(spark).save(rows.filter(~hit))
-    rest.write.mode("overwrite").partitionBy("site", "species").parquet(path)
-    return n
+        rows.write.mode("errorifexists").partitionBy(*part).parquet(keep_copy)
+    some = [r for r in touched if r["hits"] < r["n"]]
+    if some:
+        names = spark.createDataFrame([(r["site"], r["species"]) for r in some], "t_site string, t_species string")
+        near = F.col("site").eqNullSafe(F.col("t_site")) & F.col("species").eqNullSafe(F.col("t_species"))
+        rest = Scratch(spark).save(rows.filter(~hit).join(F.broadcast(names), near, "left_semi"))  # one row per partition
+        rest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part).parquet(path)
+    for r in touched:
+        if r["hits"] == r["n"]:
+            remove(spark, r["file"].rsplit("/", 1)[0])
+    return sum(r["hits"] for r in touched)
