@@ -315,14 +315,6 @@ def _(spark, d):
     return boxes(spark, d).groupBy("species").agg(F.max_by("id", F.struct(spatial.area().alias("a"), (-F.col("id")).alias("i"))).alias("id"))
 
 
-@query("greedy_dedup")
-def _(spark, d):
-    from fieldloom.sources.tables import Scratch
-
-    b = boxes(spark, d).select("id", *spatial.BOX)
-    return spatial.greedy_dedup(b, "id", "id", CELL, 0.3, Scratch(spark)).select("id")
-
-
 @query("seed_filter", f"WITH {BOX_SQL} SELECT id, source FROM box WHERE nullif(source, '') IS NULL OR source IN ('seed', 'nesp')")
 def _(spark, d):
     return boxes(spark, d).filter(lookup.is_seed(F.col("source"), (None, "seed", "nesp"))).select("id", "source")

@@ -4,7 +4,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
-from fieldloom.plans import catalogue
+from fieldloom.plans import catalogue, shapes  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
