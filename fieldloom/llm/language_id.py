@@ -13,6 +13,7 @@ one counts, so a large group of them neither swells the sample nor crowds out ot
 from __future__ import annotations
 
 import itertools
+import math
 import pickle
 
 import numpy as np
@@ -124,8 +125,13 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     if not langs:
         return None
     each = max(30, min(PER_LANGUAGE, SAMPLE_ROWS // len(langs)))
-    place = F.row_number().over(Window.partitionBy("l").orderBy("h"))  # every task hands on its first ``each`` of a language only
-    drawn = rows.select("l", "h").distinct().withColumn("place", place).filter(F.col("place") <= each)
+    # In two rounds, so that no task gets the hashes of every other one: each hands on its first ``each`` of a language, first
+    # within a group of tasks, then from all groups. The smallest of all are among them however rows are grouped.
+    groups = math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    drawn = rows.select("l", "h").distinct().withColumn("g", F.pmod(F.spark_partition_id(), F.lit(max(1, groups))))
+    for keys in (["l", "g"], ["l"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("h"))
+        drawn = drawn.withColumn("place", place).filter(F.col("place") <= each).drop("place")
     drawn = F.broadcast(drawn.select(F.col("l").alias("d_l"), F.col("h").alias("d_h")))  # the sample's size
     number = F.create_map(*[F.lit(v) for k, lang in enumerate(langs) for v in (lang, k)])[F.col("l")]
     picked = rows.join(drawn, (F.col("l") == F.col("d_l")) & (F.col("h") == F.col("d_h")), "left_semi").select(number.alias("k"), "t", "h")

@@ -710,6 +710,22 @@ def test_each_language_learns_its_whole_share(spark, monkeypatch):
     assert sizes == [[language_id.PER_LANGUAGE] * 2]
 
 
+def test_the_sample_does_not_depend_on_partitions(spark, monkeypatch):
+    drawn = []
+    learn = language_id.Model.__init__
+    monkeypatch.setattr(language_id.Model, "__init__", lambda self, langs, x, y: (drawn.append((x.tobytes(), y.tolist())), learn(self, langs, x, y))[1])
+    n = F.col("id")
+    df = spark.range(9_000).select(n.alias("doc_id"), F.concat(F.lit("text "), F.hex(n * 7919)).alias("text"), F.when(n % 5 == 0, "a").otherwise("b").alias("lang"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 4, 30):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            language_id.fit(df.repartition(parts))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(drawn) == 3 and drawn[0] == drawn[1] == drawn[2] and len(drawn[0][1]) == 2 * language_id.PER_LANGUAGE
+
+
 def test_decoding_is_the_nearest_codeword(spark, docs, odd):
     for df in (docs, docs.filter("lang in ('en', 'de')"), docs.filter("lang = 'en'")):
         m = language_id.fit(df)
