@@ -43,3 +43,11 @@ def test_anti_join_compares_distinct_boxes(spark, counted):
         got = [r["id"] for r in spatial.spatial_anti_join(a, b, "id", 5.0, threshold, inclusive).collect()]
         assert sorted(got) == [p[0] for p in left if not hits(p)]
     assert max(counted) <= len(KINDS) * 2
+
+
+def test_inclusive_anti_join_of_copies(spark, counted):
+    left, a = copies(spark, [KINDS[0], KINDS[3]], 100)
+    _, b = copies(spark, [(0, 5, 10, 10)], 100, 1000)
+    join = lambda t, inclusive: {r["id"] for r in spatial.spatial_anti_join(a, b, "id", 5.0, t, inclusive).collect()}
+    assert join(0.5, True) == {p[0] for p in left if p[1] == 40} and join(0.5, False) == {p[0] for p in left}
+    assert max(counted) <= 2
